@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statuta.llm import bpe, langid, mixing, pii
+from statuta.llm import bpe, langid, mixing, neardup, pii
 from statuta.llm.common import shared_dir
 
 
@@ -13,6 +13,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group that shares four fifths of its five-word shingles."""
+    return neardup.deduplicated(docs)
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts the kind's name in place of every span of personal data."""
     return pii.clean(docs)
@@ -28,7 +33,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.report(docs)
 
 
-STAGES = [("language_id", language), ("pii", personal_data), ("mixing", mix), ("bpe", encode)]
+STAGES = [("language_id", language), ("minhash", near_duplicates), ("pii", personal_data), ("mixing", mix), ("bpe", encode)]
 
 #: Stages that learn from the corpus or compare all of it cannot be said in SQL.
 ORACLE_SQL = None

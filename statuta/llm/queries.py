@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statuta.llm import bpe, fingerprints, langid, mixing, pii
+from statuta.llm import bpe, fingerprints, langid, mixing, neardup, pii
 from statuta.llm.common import table
 
 
@@ -30,8 +30,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op7_bpe)}
+    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op7_bpe, op8_minhash)}
 
 
 OP3_SQL = """
