@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statuta.llm import bpe, fingerprints, langid, mixing, neardup, pii, vectors
+from statuta.llm import bpe, fingerprints, langid, mixing, neardup, pii, toxicity, vectors
 from statuta.llm.common import table
 
 
@@ -38,8 +38,12 @@ def op9_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op7_bpe, op8_minhash, op9_pq)}
+    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op7_bpe, op8_minhash, op9_pq, op10_toxicity)}
 
 
 OP3_SQL = """
