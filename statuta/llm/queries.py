@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statuta.llm import bpe, fingerprints, langid, mixing, neardup, pii, toxicity, vectors
+from statuta.llm import bpe, fingerprints, langid, mixing, neardup, pii, tokencount, toolcalls, toxicity, vectors
 from statuta.llm.common import table
 
 
@@ -26,6 +26,14 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.report(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.report(table(spark, sf_dir, "documents"))
+
+
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.report(table(spark, sf_dir, "conversations"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table(spark, sf_dir, "documents"))
 
@@ -43,7 +51,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op7_bpe, op8_minhash, op9_pq, op10_toxicity)}
+    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op5_token_counts, op6_tool_calls, op7_bpe, op8_minhash, op9_pq, op10_toxicity)}
 
 
 OP3_SQL = """
@@ -82,5 +90,45 @@ FROM mixed
 """
 
 
+#: A user's turns are calls; consecutive ones two turns apart form chains.  Valid for unique (conv_id, turn).
+OP6_SQL = """
+WITH t AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, text, role,
+         CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind
+  FROM conversations),
+c AS (SELECT conv_id, turn, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island FROM t WHERE kind = 'call'),
+d AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) AS depth FROM c),
+r AS (SELECT conv_id, turn - 1 AS call_turn FROM t WHERE kind = 'result'),
+s AS (
+  SELECT t.*, own.depth AS own_depth, r.call_turn, prior.depth AS prior_depth FROM t
+  LEFT JOIN d own ON t.kind = 'call' AND own.conv_id = t.conv_id AND own.turn = t.turn
+  LEFT JOIN r ON t.kind = 'call' AND r.conv_id = t.conv_id AND r.call_turn = t.turn
+  LEFT JOIN d prior ON t.kind = 'result' AND prior.conv_id = t.conv_id AND prior.turn = t.turn - 1)
+SELECT conv_id, turn, kind,
+       CASE kind WHEN 'message' THEN 'message' WHEN 'call' THEN CASE WHEN call_turn IS NULL THEN 'pending' ELSE 'linked' END
+                 ELSE CASE WHEN prior_depth IS NULL THEN 'orphan' ELSE 'linked' END END AS status,
+       CAST(coalesce(own_depth, prior_depth, 0) AS BIGINT) AS depth,
+       CAST(coalesce(CASE kind WHEN 'call' THEN 2 * own_depth - 1 WHEN 'result' THEN 2 * prior_depth END, 0) AS BIGINT) AS position,
+       CASE WHEN kind = 'call' THEN coalesce(length(text) >= 1 AND turn >= 0, false) ELSE true END AS valid,
+       CASE kind
+         WHEN 'call' THEN '{"arguments":{"prompt":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '},"id":"' || conv_id || ':' || turn || '","name":"reply","type":"call"}'
+         WHEN 'result' THEN '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"id":"' || conv_id || ':' || (turn - 1) || '","type":"result"}'
+         ELSE '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || ',"type":"message"}' END AS json
+FROM s
+"""
+
+OP9_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+p AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, p.b FROM reach r JOIN p ON p.a = r.other),
+root AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT root.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, root.component_id, root.vec_id = root.component_id AS kept
+FROM root LEFT JOIN n ON n.a = root.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL}
+    return {"op3_mixing": OP3_SQL, "op6_tool_calls": OP6_SQL, "op9_pq": OP9_SQL}
