@@ -353,7 +353,8 @@ def quality_report(spark, sf_dir):
 @query()
 def body_paragraphs(spark, sf_dir):
     rows = structure.paragraphs(files.parse(S.DOCUMENTS.frame(spark)))
-    return rows.select("article_id", "number", "heading", "text", "named.article_number", structure.covered(F.col("law_abbrev"), F.col("last_verified")).alias("covered"))
+    covered = structure.covered(F.col("article_number"), F.col("last_verified"))
+    return rows.select("article_id", "number", "heading", "text", F.col("named.article_number").alias("named"), covered.alias("covered"))
 
 
 @query()

@@ -15,7 +15,7 @@ from statuta.sources import frontmatter
 
 def scan(spark: SparkSession, *roots: str) -> DataFrame:
     """path and value (a whole file) of every Markdown file below the roots."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(list(roots))
+    files = spark.read.text(list(roots), wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     return files.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
@@ -106,7 +106,9 @@ def _plain(value):
         return {k: _plain(v) for k, v in value.items()}
     if isinstance(value, (list, tuple)) or hasattr(value, "tolist") and getattr(value, "ndim", 0):
         return [_plain(v) for v in value]
-    return value.item() if hasattr(value, "item") else value
+    value = value.item() if hasattr(value, "item") else value
+    # pandas makes whole numbers beside nulls floating; the schema has no floating field.
+    return int(value) if isinstance(value, float) else value
 
 
 def write_articles(articles: DataFrame, root: str) -> None:
