@@ -403,6 +403,6 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def deduplicated(docs: DataFrame, words: int = 5) -> DataFrame:
     """One document of each group of near-duplicates, with the columns of docs."""
     kept = near_duplicates(docs, words).where(F.col("kept")).select(F.col("doc_id").alias("kept_id")).distinct()
-    same = docs["doc_id"].cast("long") == F.col("kept_id")
+    same = docs["doc_id"].cast("long") == kept["kept_id"]
     known = docs.join(kept.hint("merge"), same, "left_semi").dropDuplicates(["doc_id"])
     return known.unionByName(docs.where(F.col("doc_id").isNull()))
