@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from statuta.llm import bpe, langid, mixing, neardup, pii
 from statuta.llm.common import shared_dir
+from statuta.ship import ship
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +36,14 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.report(docs)
 
 
-STAGES = [("language_id", language), ("minhash", near_duplicates), ("pii", personal_data), ("mixing", mix), ("bpe", encode)]
+
+def _shipped(stage):
+    return wraps(stage)(lambda spark, docs, sf_dir: stage(ship(spark), docs, sf_dir))
+
+
+STAGES = [(name, _shipped(stage)) for name, stage in (
+    ("language_id", language), ("minhash", near_duplicates), ("pii", personal_data), ("mixing", mix), ("bpe", encode),
+)]
 
 #: Stages that learn from the corpus or compare all of it cannot be said in SQL.
 ORACLE_SQL = None
