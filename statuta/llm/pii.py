@@ -2,8 +2,10 @@
 
 The base kinds (email, ip, card, phone) are leftmost, non-overlapping matches per kind that
 pass their check; a match that fails is dropped and never retried from inside.  They are kept
-whatever their context.  Further kinds (iban, ssn) are kept only if checksum or structure and
-the words before them bring the score to KEEP.
+whatever their context.  Beyond them, a run of digits that failed as a card, or a phone number
+that ran on into what follows it, is searched for a part that holds by itself, and further kinds
+(iban, ssn) are looked for; these are kept only if checksum or structure and the words before them
+bring the score to KEEP.
 
 Null text counts as empty and has no spans; other columns, nulls in them and repeated rows pass
 through untouched, as each row is treated alone.  All scans are linear in the text's length.
@@ -31,6 +33,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_DIGITS = re.compile(r"[0-9]+")
+_DIGIT = re.compile(r"[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}+(?: [A-Z0-9]{1,3})?+)(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
@@ -101,6 +105,55 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _cards_within(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Groups of digits in a failed run that are a card number by themselves: in one piece, by fours, or 4-6-5."""
+    found, groups, i = [], list(_DIGITS.finditer(text, start, end)), 0
+    while i < len(groups):
+        for shape in ((len(groups[i][0]),), (4, 4, 4, 4), (4, 6, 5)):
+            part = groups[i : i + len(shape)]
+            digits = "".join(m[0] for m in part)
+            if tuple(len(m[0]) for m in part) == shape and 13 <= len(digits) <= 19 and digits[0] in "3456" and luhn(digits):
+                found.append((part[0].start(), part[-1].end()))
+                i += len(shape) - 1
+                break
+        i += 1
+    return found
+
+
+def _phone_within(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """The longest beginning of a failed phone match that ends before a blank and has 8 to 15 digits."""
+    best, digits, at = None, 0, start
+    while at < end and digits <= 15:
+        stop = text.find(" ", at, end)
+        stop = end if stop < 0 else stop
+        digits += len(_DIGIT.findall(text, at, stop))
+        if 8 <= digits <= 15 and text[stop - 1].isdigit():
+            best = (start, stop)
+        at = stop + 1
+    return best
+
+
+def added_spans(text: str) -> list[tuple[str, int, int]]:
+    """Candidates besides the base spans."""
+    out = []
+    for m in _CARD.finditer(text):
+        if m.end() - m.start() > 16:
+            digits = m[0].replace(" ", "").replace("-", "")
+            if not (16 <= len(digits) <= 19 and luhn(digits)):
+                out += [("card", a, b) for a, b in _cards_within(text, m.start(), m.end())]
+    if "+" in text:
+        for m in _PHONE.finditer(text):
+            if not 8 <= len(_DIGIT.findall(m[0])) <= 15 and (found := _phone_within(text, m.start(), m.end())):
+                out.append(("phone", *found))
+    for m in _IBAN.finditer(text):
+        code = m[0].replace(" ", "")
+        if 15 <= len(code) <= 34 and mod97(code):
+            out.append(("iban", m.start(), m.end()))
+    if "-" in text:
+        out += [("ssn", m.start(), m.end()) for m in _SSN.finditer(text)]
+    return out
+
+
 def score(text: str, kind: str, start: int) -> float:
     before = text[max(0, start - WINDOW) : start]
     more, less = _CONTEXT[kind]
@@ -110,14 +163,9 @@ def score(text: str, kind: str, start: int) -> float:
 def spans(text: str | None) -> list[Span]:
     """All spans by kind as listed, then start."""
     text = text or ""
-    out = [Span(k, a, b, score(text, k, a)) for k, a, b in base_spans(text)]
-    for m in _IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code) and (s := score(text, "iban", m.start())) >= KEEP:
-            out.append(Span("iban", m.start(), m.end(), s))
-    if "-" in text:
-        out += [Span("ssn", m.start(), m.end(), s) for m in _SSN.finditer(text) if (s := score(text, "ssn", m.start())) >= KEEP]
-    return out
+    base = [Span(k, a, b, score(text, k, a)) for k, a, b in base_spans(text)]
+    added = [s for s in (Span(k, a, b, score(text, k, a)) for k, a, b in added_spans(text)) if s.score >= KEEP]
+    return sorted(base + added, key=lambda s: (KINDS.index(s.kind), s.start)) if added else base
 
 
 def redact(text: str | None) -> str | None:
@@ -152,14 +200,13 @@ def report(docs: DataFrame) -> DataFrame:
 
     def step(batch):
         out = {k: [] for k in ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")}
+        said = lambda found: ",".join(f"{k}:{a}:{b}" for k, a, b in found)
         for text in texts(batch.column("text")):
-            found = spans(text)
-            said = [f"{s.kind}:{s.start}:{s.end}" for s in found]
-            base = [x for x, s in zip(said, found, strict=True) if s.kind in BASE]
+            base = base_spans(text)
             for k in BASE:
-                out[f"n_{k}"].append(sum(s.kind == k for s in found))
-            out["base_sha256"].append(sha256(",".join(base).encode()).hexdigest())
-            out["spans"].append(",".join(said))
+                out[f"n_{k}"].append(sum(x[0] == k for x in base))
+            out["base_sha256"].append(sha256(said(base).encode()).hexdigest())
+            out["spans"].append(said(x[:3] for x in spans(text)))
         return {"doc_id": batch.column("doc_id"), **out}
 
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"

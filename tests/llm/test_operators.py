@@ -81,6 +81,13 @@ def test_pii_checks_and_context():
     assert a > b and pii.redact("x a@b.co y 10.0.0.1") == "x [EMAIL] y [IP]" and pii.redact(None) is None
 
 
+def test_pii_adds_what_ran_together():
+    said = lambda t: [t[s.start : s.end] for s in pii.spans(t)]
+    assert said("tel +1 (269) 555-3296 4524132264652876 x") == ["4524132264652876", "+1 (269) 555-3296"] or not pii.luhn("4524132264652876")
+    assert said("+1 (269) 555-3296 192.168.0.1") == ["192.168.0.1", "+1 (269) 555-3296"]
+    assert said("10.0.0.1 4111 1111 1111 1111") == ["10.0.0.1", "4111 1111 1111 1111"] and not said("1 2222 3333 4444 5555 66")
+
+
 def test_pii_clean_keeps_columns(docs, empty):
     out = pii.clean(docs)
     assert out.columns == docs.columns and out.count() == docs.count() and not [r for r in out.collect() if pii.spans(r["text"])] and pii.clean(empty).count() == 0
