@@ -19,6 +19,7 @@ label, link with nothing.  Repeated rows are vectors of their own.  Extra column
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -27,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import arrow_schema, cut
+from statuta.llm.common import arrow_schema, cut, shared_dir, slices
 from statuta.llm.components import components
 
 COSINE = 0.98
 SAMPLE = 8192
-LISTS = 64
+LISTS = 32
 SUBSPACES = 16
 CODES = 64
 ROUNDS = 8
@@ -97,29 +98,38 @@ class Index:
         return out
 
 
-_CLASS = "vec_id long, key binary, label string, dim int, unit binary"
+_CLASS = "vec_id long, key binary, label string, dim int, raw binary"
+
+
+def _unit(raw: list[bytes], dim: int) -> np.ndarray:
+    """Unit vectors in double precision from stored components, which are 4 or 8 bytes each."""
+    kind = np.float32 if len(raw[0]) == 4 * dim else np.float64
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), dim).astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
-    """Per row its vec_id; for vectors that can link also the key of its class and the unit vector."""
+    """Per row its vec_id; for vectors that can link also the key of its class and its components as stored."""
     schema = arrow_schema(_CLASS)
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind = np.float32 if single else np.float64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             out = []
             for vec_id, values, label in zip(*(batch.column(c).to_pylist() for c in ("vec_id", "embedding", "label")), strict=True):
                 row = (vec_id, None, None, None, None)
                 if values and label is not None and None not in values:
-                    x = np.array(values, np.float64)
+                    x = np.array(values, kind)
                     if np.isfinite(x).all() and x.any():
-                        x = x / np.abs(x).max()
-                        x = x / np.sqrt(x @ x)
-                        key = blake2b(f"{label}:{len(x)}:".encode() + x.tobytes(), digest_size=16).digest()
-                        row = (vec_id, key, label, len(x), x.tobytes())
+                        raw = x.tobytes()
+                        key = blake2b(f"{label}:{len(x)}:".encode() + _unit([raw], len(x)).tobytes(), digest_size=16).digest()
+                        row = (vec_id, key, label, len(x), raw)
                 out.append(row)
             yield _table(schema, out)
 
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.col("label").cast("string"))
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>" if single else "array<double>"), F.col("label").cast("string"))
     return rows.mapInArrow(run, _CLASS)
 
 
@@ -130,14 +140,14 @@ def _table(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 def fit(classes: DataFrame) -> dict[int, Index]:
     """An index for each dimension found in a sample of SAMPLE classes, chosen by hash."""
-    rows = classes.select("key", "dim", "unit").orderBy(F.xxhash64("key")).limit(SAMPLE).collect()
-    by_dim: dict[int, list[np.ndarray]] = {}
+    rows = classes.select("key", "dim", "raw").orderBy(F.xxhash64("key")).limit(SAMPLE).collect()
+    by_dim: dict[int, list[bytes]] = {}
     for r in rows:
-        by_dim.setdefault(r["dim"], []).append(np.frombuffer(bytes(r["unit"])))
-    return {d: Index(np.array(x)) for d, x in by_dim.items()}
+        by_dim.setdefault(r["dim"], []).append(bytes(r["raw"]))
+    return {d: Index(_unit(x, d)) for d, x in by_dim.items()}
 
 
-_PLACED = "label string, dim int, list int, query boolean, key binary, many long, unit binary, code binary, left_over double"
+_PLACED = "label string, dim int, list int, query boolean, key binary, many long, raw binary, code binary, left_over double"
 
 
 def _place(classes: DataFrame, shared, radius: float) -> DataFrame:
@@ -148,21 +158,21 @@ def _place(classes: DataFrame, shared, radius: float) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                rows = list(zip(*(part.column(c).to_pylist() for c in ("label", "dim", "key", "many", "unit")), strict=True))
+                rows = list(zip(*(part.column(c).to_pylist() for c in ("label", "dim", "key", "many", "raw")), strict=True))
                 out = []
                 for dim in {r[1] for r in rows}:
                     here = [r for r in rows if r[1] == dim]
                     index = shared.value.get(dim)
                     if index is None:  # a dimension that the sample lacks: one list, searched exactly
-                        for label, _, key, many, unit in here:
-                            out += [(label, dim, -1, q, key, many, unit, None, None) for q in (False, True)]
+                        for label, _, key, many, raw in here:
+                            out += [(label, dim, -1, q, key, many, raw, None, None) for q in (False, True)]
                         continue
-                    x = np.frombuffer(b"".join(r[4] for r in here)).reshape(len(here), dim)
+                    x = _unit([r[4] for r in here], dim)
                     where, codes, left = index.encode(x)
                     probes = index.probes(x, radius)
-                    for i, (label, _, key, many, unit) in enumerate(here):
-                        out.append((label, dim, int(where[i]), False, key, many, unit, codes[i].tobytes(), float(left[i])))
-                        out += [(label, dim, int(c), True, key, many, unit, None, None) for c in np.flatnonzero(probes[i])]
+                    for i, (label, _, key, many, raw) in enumerate(here):
+                        out.append((label, dim, int(where[i]), False, key, many, raw, codes[i].tobytes(), float(left[i])))
+                        out += [(label, dim, int(c), True, key, many, raw, None, None) for c in np.flatnonzero(probes[i])]
                 yield _table(schema, out)
 
     return classes.mapInArrow(run, _PLACED)
@@ -175,7 +185,7 @@ def _search(placed: DataFrame, shared, cosine: float, radius: float) -> DataFram
 
     def scan(base: list[tuple], queries: list[tuple], dim: int, centre: int) -> list[tuple]:
         index = shared.value.get(dim)
-        y = np.frombuffer(b"".join(r[1] for r in base)).reshape(len(base), dim)
+        y = _unit([r[1] for r in base], dim)
         many = np.array([r[2] for r in base], np.int64)
         _, names = np.unique(np.array([r[0].hex() for r in base] + [r[0].hex() for r in queries]), return_inverse=True)
         if index is not None:
@@ -185,7 +195,7 @@ def _search(placed: DataFrame, shared, cosine: float, radius: float) -> DataFram
         step = max(1, BLOCK // len(base))
         for at in range(0, len(queries), step):
             part = queries[at : at + step]
-            x = np.frombuffer(b"".join(r[1] for r in part)).reshape(len(part), dim)
+            x = _unit([r[1] for r in part], dim)
             i, j = np.nonzero(index.distances(x, centre, codes) <= limit) if index is not None else np.nonzero(np.ones((len(part), len(base)), bool))
             keep = np.zeros(len(i), bool)
             for k in range(0, len(i), BLOCK // max(1, dim)):
@@ -209,7 +219,7 @@ def _search(placed: DataFrame, shared, cosine: float, radius: float) -> DataFram
         task, base, queries, of = None, [], [], None
         for batch in batches:
             out: list[tuple] = []
-            for t, dim, lst, query, *row in zip(*(batch.column(c).to_pylist() for c in ("task", "dim", "list", "query", "key", "unit", "many", "code", "left_over")), strict=True):
+            for t, dim, lst, query, *row in zip(*(batch.column(c).to_pylist() for c in ("task", "dim", "list", "query", "key", "raw", "many", "code", "left_over")), strict=True):
                 if t != task:
                     if base and queries:
                         out += scan(base, queries, *of)
@@ -245,13 +255,16 @@ def _pieces(placed: DataFrame) -> DataFrame:
     """Deals each list's stored and searching classes to tasks of bounded size, each pair of pieces once."""
     sizes = placed.groupBy("label", "dim", "list").agg(F.sum(F.when(F.col("query"), 0).otherwise(1)).alias("b"), F.sum(F.when(F.col("query"), 1).otherwise(0)).alias("q"))
     sizes = sizes.where("b > 0").select("label", "dim", "list", F.ceil(F.col("b") / BASES).cast("int").alias("nb"), F.ceil(F.col("q") / QUERIES).cast("int").alias("nq"))
-    rows = placed.join(sizes, ["label", "dim", "list"])
+    # As a table its size is known, so the planner broadcasts it if, and only if, it is small.
+    at = f"{shared_dir(placed.sparkSession).rstrip('/')}/lists-{uuid.uuid4().hex}"
+    sizes.write.parquet(at)
+    rows = placed.join(placed.sparkSession.read.parquet(at), ["label", "dim", "list"])
     h = F.xxhash64("key")
     mine = F.when(F.col("query"), F.pmod(h, F.col("nq"))).otherwise(F.pmod(h, F.col("nb"))).cast("int")
     spread = F.sequence(F.lit(0), F.when(F.col("query"), F.col("nb")).otherwise(F.col("nq")) - 1)
     rows = rows.withColumn("mine", mine).withColumn("theirs", F.explode(spread))
     i, j = F.when(F.col("query"), F.col("mine")).otherwise(F.col("theirs")), F.when(F.col("query"), F.col("theirs")).otherwise(F.col("mine"))
-    return rows.select(F.xxhash64("label", "dim", "list", i, j).alias("task"), "dim", "list", "query", "key", "unit", "many", "code", "left_over")
+    return rows.select(F.xxhash64("label", "dim", "list", i, j).alias("task"), "dim", "list", "query", "key", "raw", "many", "code", "left_over")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -259,9 +272,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     radius = float(np.sqrt(2 - 2 * cosine))
     rows = cut(_classes(vectors))
     light = rows.where(F.col("key").isNotNull())
-    classes = cut(light.groupBy("key").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("many"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("unit").alias("unit")))
+    classes = cut(light.groupBy("key").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("many"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("raw").alias("raw")))
     shared = vectors.sparkSession.sparkContext.broadcast(fit(classes))  # bounded by LISTS, CODES and the dimensions
-    found = cut(_search(_pieces(cut(_place(classes, shared, radius))), shared, cosine, radius))
+    found = cut(_search(_pieces(_place(classes, shared, radius)), shared, cosine, radius))
     counts = found.where(F.col("n").isNotNull()).groupBy("key").agg(F.sum("n").alias("n"))
     roots = components(found.where(F.col("other").isNotNull()).select(F.col("key").alias("a"), F.col("other").alias("b")))
     labels = classes.select("key", "vec_id", "many").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
