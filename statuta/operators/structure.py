@@ -25,6 +25,13 @@ def segments(rows: DataFrame) -> DataFrame:
     return rows.select("article_id", "number", F.explode(clauses.segments(F.col("article_id"), F.col("number"), F.col("text"))).alias("s")).select("article_id", "number", "s.*")
 
 
+def marked(segment: Column) -> Column:
+    """A segment's text behind its marker, as bodies hold it."""
+    of = lambda label, values: F.when(F.size(values) > 0, F.concat(F.lit(f" {label}: "), F.concat_ws(",", values))).otherwise(F.lit(""))
+    target = F.when(segment["override_flag"], F.concat(F.lit(" override_flag: true"), of("override_target", segment["override_target"]))).otherwise(F.lit(""))
+    return F.concat(F.lit("<!-- segment: "), segment["type"], F.lit(" id: "), segment["id"], of("applies_provisions", segment["applies_provisions"]), target, F.lit(" -->\n"), segment["text"])
+
+
 def flags(segments_col: Column) -> Column:
     """Struct of has_items and has_proviso from a paragraph's segments."""
     has = lambda kind: F.coalesce(F.exists(segments_col, lambda s: s["type"] == kind), F.lit(False))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from statuta import samples as S
 from statuta.functions import anonymize as A
 from statuta.functions import clauses, domains, keys, numerals
-from statuta.operators import citations, integrity, safety, structure, versions
+from statuta.operators import citations, details, integrity, safety, structure, versions
 from statuta.plans import reports
 from statuta.sources import articles as files
 from statuta.streaming import questions as stream
@@ -394,3 +394,41 @@ def question_stream(spark, sf_dir):
     rows = stream.source(spark, sf_dir, "conversations.parquet").select("conv_id", "turn", F.col("text").alias("question"))
     stream.run_available(stream.anonymized(rows), f"{at}/log", f"{at}/state")
     return spark.read.parquet(f"{at}/log").select("conv_id", "turn", "raw", "anonymized")
+
+
+@query(f"SELECT law_abbrev, phase || '|auto-generated' AS tags FROM {S.LAWS.sql()}")
+def default_tags(spark, sf_dir):
+    return S.LAWS.frame(spark).withColumn("t", keys.default_tags(F.col("phase"))).select("law_abbrev", joined("t").alias("tags"))
+
+
+@query(f"SELECT article_id, number, bool_or(s.t = 'hashira') AS has_items, bool_or(s.t = 'tadashi') AS has_proviso FROM ({_SPLIT_SQL}) GROUP BY article_id, number")
+def paragraph_flags(spark, sf_dir):
+    rows = S.PARAGRAPHS.frame(spark).where("text IS NOT NULL").withColumn("f", structure.flags(clauses.split_proviso(F.col("text"))))
+    return rows.select("article_id", "number", "f.*")
+
+
+@query(
+    f"WITH s AS (SELECT article_id || '-p' || number || CASE WHEN type IN ('hashira','honbun','tadashi') THEN '-' || type ELSE '' END AS id, type, text, regexp_extract_all(text, '{clauses.PROVISIONS}', 1) AS p, regexp_extract(text, '{clauses.TARGET}', 1) AS o "
+    f"FROM (SELECT article_id, number, s.t AS type, s.x AS text FROM ({_SPLIT_SQL}))) SELECT id, '<!-- segment: ' || type || ' id: ' || id || CASE WHEN type = 'junyou' AND len(p) > 0 THEN ' applies_provisions: ' || array_to_string(p, ',') ELSE '' END "
+    f"|| CASE WHEN type = 'tokusoku' THEN ' override_flag: true' || CASE WHEN o <> '' THEN ' override_target: ' || o ELSE '' END ELSE '' END || ' -->' || chr(10) || text AS marked FROM s"
+)
+def segment_markers(spark, sf_dir):
+    rows = S.PARAGRAPHS.frame(spark).select(F.explode(clauses.segments(F.col("article_id"), F.col("number"), F.col("text"))).alias("s"))
+    return rows.select("s.id", structure.marked(F.col("s")).alias("marked"))
+
+
+@query(f"SELECT id, CASE id WHEN 1 THEN '区域' WHEN 3 THEN '題' END AS caption, len(string_split(article_number, '-')) - 1 <= CASE WHEN last_verified = '2026-06-01' THEN 1 ELSE 0 END AS covered FROM {S.BODIES.sql()}")
+def captions_and_coverage(spark, sf_dir):
+    c = F.col
+    return S.BODIES.frame(spark).select("id", structure.caption(c("body")).alias("caption"), structure.covered(c("article_number"), c("last_verified")).alias("covered"))
+
+
+@query(f"SELECT article_id, number, trim(text) = '削除' AS repealed FROM {S.PARAGRAPHS.sql()} WHERE text IS NOT NULL")
+def repealed(spark, sf_dir):
+    return S.PARAGRAPHS.frame(spark).where("text IS NOT NULL").select("article_id", "number", clauses.is_repealed(F.col("text")).alias("repealed"))
+
+
+@query(f"SELECT a.article_id, coalesce(string_agg(d.kind || ':' || d.title, '|' ORDER BY d.kind, d.title), '') AS details FROM {S.OLD.sql()} a LEFT JOIN {S.DETAILS.sql()} d ON d.article_id = a.article_id GROUP BY a.article_id")
+def attach_details(spark, sf_dir):
+    rows = details.attach(S.OLD.frame(spark), S.DETAILS.frame(spark), "found")
+    return rows.select("article_id", F.concat_ws("|", F.transform("found", lambda d: F.concat(d["kind"], F.lit(":"), d["title"]))).alias("details"))

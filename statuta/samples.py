@@ -80,6 +80,15 @@ NEW = Sample("article_id string, law_name string, body string, tag string", [
     ("a-art-1", "甲法", "本文一", "phase1"), ("a-art-2", "甲法", "本文二", "phase2"), ("a-art-4", "甲法", "本文四", "phase2"), ("b-art-1", "乙法改", "本文改", "phase1"), ("b-art-2", "乙法", None, "phase1"),
 ])
 
+DETAILS = Sample("article_id string, kind string, title string", [
+    ("a-art-1", "case", "判決一"), ("a-art-1", "amendment", "改正一"), ("a-art-2", "case", "判決二"), ("z-art-9", "case", "孤立"), (None, "case", "無番"),
+])
+
+BODIES = Sample("id int, body string, article_number string, last_verified string", [
+    (1, "\n# 見本法 第1条(（区域）)\n\n### 第一条\n\nあ\n", "1", "2026-05-20"), (2, "\n# 見本法 第2-3条\n\n### 第二条の三\n\n削除\n", "2-3", "2026-05-20"),
+    (3, "# 見本法 第4条(（<!-- segment: simple id: x -->\n題）)\n", "4-5", "2026-06-01"), (4, "", "6-7-8", "2026-06-01"),
+])
+
 SECTIONS = Sample("article_id string, hen int, shou int, setsu int, shou_name string", [
     ("s-1", 1, 1, 1, "第一章　総則"), ("s-2", 1, 1, 2, "第一章　総則"), ("s-3", 1, 6, None, "第六章　雑則"), ("s-4", 1, 62, None, "第六章の二　特例"), ("s-5", 2, 7, None, "第七章　罰則"), ("s-6", None, None, None, None),
 ])

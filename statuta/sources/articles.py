@@ -86,16 +86,6 @@ def render(articles: DataFrame) -> DataFrame:
     return out.select("out_path", "body", *columns).mapInPandas(run, "path string, value string")
 
 
-def marked(text: str, kind: str, ident: str, provisions: list[str] | None = None, target: list[str] | None = None) -> str:
-    """A segment's text behind its marker."""
-    out = f"<!-- segment: {kind} id: {ident}"
-    if provisions:
-        out += f" applies_provisions: {','.join(provisions)}"
-    if target:
-        out += f" override_flag: true override_target: {','.join(target)}"
-    return f"{out} -->\n{text}"
-
-
 def _plain(value):
     """Rows and arrays as mappings and lists."""
     if value is None or isinstance(value, float) and value != value:

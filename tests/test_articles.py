@@ -118,3 +118,17 @@ def test_xml(spark, tmp_path):
 
     (tmp_path / "law.xml").write_text("<Law><Article Num='1'><T>甲</T></Article><Article Num='2'><T>乙</T></Article></Law>", encoding="utf-8")
     assert [r["T"] for r in read_laws(spark, str(tmp_path / "law.xml"), schema="_Num string, T string").orderBy("_Num").collect()] == ["甲", "乙"]
+
+
+def test_command_line(spark, parsed, tmp_path, capsys):
+    from statuta import cli
+
+    articles.write_articles(parsed.where("corrupt IS NULL").withColumn("tier", F.lit("t1")), str(tmp_path))
+    at = f"{tmp_path}/t1/phase9-mihon/mihon-hou/mihon-hou-article"
+    assert cli.main(["validate"]) == 2 and cli.main(["validate", f"{at}-1.md"]) == 0 and cli.main(["validate", f"{at}-1.md", f"{at}-4.md"]) == 1
+    said = capsys.readouterr()
+    assert "PASS" in said.out and "V2, V5, V8" in said.out and "1 file(s) failed" in said.err
+    assert cli.main(["check-encoding", "--path", str(tmp_path)]) == 0 and "cp932-safe" in capsys.readouterr().out
+    (tmp_path / "x.md").write_text("a\u2014b", encoding="utf-8")
+    assert cli.main(["check-encoding", "--path", str(tmp_path)]) == 1 and "FAIL" in capsys.readouterr().err
+    assert cli.main(["get-article", str(tmp_path), "mihon-hou", "1"]) == 0 and cli.main(["get-article", str(tmp_path), "mihon-hou", "99"]) == 1 and cli.main(["get-law", str(tmp_path), "mihon-hou"]) == 0
