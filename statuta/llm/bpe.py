@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from statuta.llm.common import map_slices, texts
 
-CACHED_WORDS = 400_000
-CACHED_ARCS = 2_000_000
+CACHED_WORDS = 100_000
+CACHED_ARCS = 300_000
 LONG_WORD = 48
 
 

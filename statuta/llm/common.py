@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 512
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,11 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def give_back() -> None:
+    """Returns what a task's batches have used to the system, as workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow form of a schema; only the driver can parse it."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -66,6 +71,7 @@ def map_slices(df: DataFrame, schema: str, step: Callable[[pa.RecordBatch], dict
             for part in slices(batch):
                 out = step(part)
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import arrow_schema, map_slices, parts, texts
+from statuta.llm.common import arrow_schema, map_slices, parts, slices, texts
 
 P = (1 << 31) - 1
 BASES = (911_382_323, 972_663_749)
@@ -183,7 +183,7 @@ def report(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         last = None  # range, doc_id, text, hashed, fingerprint of the row that still needs its follower
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             out = []
             for doc_id, text, at, extra in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "at", "extra")), strict=True):
                 text = text or ""

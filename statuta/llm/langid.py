@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import crc, map_slices, texts
+from statuta.llm.common import crc, give_back, map_slices, texts
 
 DIM = 1024
 N = 3
@@ -38,7 +38,7 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=10_000)
 def _signs(code: int) -> np.ndarray:
     return np.random.default_rng((SEED, code)).integers(0, 2, DIM, dtype=np.int8) * np.int8(2) - np.int8(1)
 
@@ -126,6 +126,7 @@ def learn(docs: DataFrame, usable: Column | None = None) -> dict[str, np.ndarray
                     add = np.rint(unit[langs == lang].astype(np.float64) * 2**20).sum(axis=0).astype(np.int64)
                     total[lang] = total.get(lang, 0) + add
         langs = list(total)
+        give_back()
         yield pa.RecordBatch.from_arrays([
             pa.array(np.repeat(np.array(langs, object), DIM), pa.string()),
             pa.array(np.tile(np.arange(DIM, dtype=np.int32), len(langs))),
@@ -201,5 +202,6 @@ def accepted(docs: DataFrame) -> DataFrame:
             for part in slices(batch):
                 langs, scores = profiles.value.predict(texts(part.column("text")))
                 yield part.filter(pa.array([x != UNKNOWN and s >= REJECT_BELOW for x, s in zip(langs, scores, strict=True)], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import arrow_schema, cut, map_slices, shared_dir, texts
+from statuta.llm.common import arrow_schema, cut, give_back, map_slices, shared_dir, slices, texts
 from statuta.llm.components import components
 
 WORDS = 2
@@ -46,7 +46,7 @@ SKETCH_BITS = 256
 LOOSE = 0.62
 PIECE = 1_000_000
 DOCUMENT = 500
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 SHARED_BLOCK = 4096
 
 _U = np.uint64
@@ -272,6 +272,7 @@ def _compare(nodes: DataFrame, last: bool) -> DataFrame:
                 yield _found(schema, out)
         if out := close():
             yield _found(schema, out)
+        give_back()
 
     return nodes.repartition(F.col("node")).sortWithinPartitions("node").mapInArrow(run, _FOUND)
 
@@ -341,7 +342,7 @@ def _confirm(gathered: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, mine, keys, sets = None, [], [], []
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             out: list[tuple] = []
             for t, m, k, text in zip(*(batch.column(c).to_pylist() for c in ("task", "mine", "key", "text")), strict=True):
                 if t != task:
@@ -357,6 +358,7 @@ def _confirm(gathered: DataFrame, words: int) -> DataFrame:
                 yield _found(schema, out)
         if len(keys) > 1 and (out := decide(mine, keys, sets)):
             yield _found(schema, out)
+        give_back()
 
     return gathered.mapInArrow(run, "a binary, b binary")
 

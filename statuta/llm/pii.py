@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import map_slices, texts
+from statuta.llm.common import give_back, map_slices, slices, texts
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")
@@ -220,11 +220,12 @@ def clean(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             new = [redact(t) for t in batch.column("text").to_pylist()]
             columns = {n: batch.column(n) for n in batch.schema.names}
             columns["text"] = pa.array(new, type=batch.schema.field("text").type)
             yield pa.RecordBatch.from_arrays([columns[n] for n in batch.schema.names], names=batch.schema.names)
+        give_back()
 
     out = docs.mapInArrow(run, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
