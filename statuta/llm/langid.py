@@ -29,8 +29,6 @@ UNKNOWN = "und"
 SEED = 20_240_601
 DENSE = 1 << 21
 COLUMNS = 4096
-#: The pipeline turns away texts of no language and those less like every prototype than this.
-REJECT_BELOW = 0.05
 
 
 @lru_cache(maxsize=1)
@@ -189,7 +187,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The documents whose language is recognised, with their columns as they were."""
+    """The documents that have a language, with their columns as they were.
+
+    Only ``und`` is turned away: a low cosine tells short texts from long ones, not bad from good.
+    """
     prototypes = learn(docs)
     profiles = docs.sparkSession.sparkContext.broadcast(Profiles(prototypes))
 
@@ -200,8 +201,8 @@ def accepted(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for part in slices(batch):
-                langs, scores = profiles.value.predict(texts(part.column("text")))
-                yield part.filter(pa.array([x != UNKNOWN and s >= REJECT_BELOW for x, s in zip(langs, scores, strict=True)], pa.bool_()))
+                langs, _ = profiles.value.predict(texts(part.column("text")))
+                yield part.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
         give_back()
 
     return docs.mapInArrow(run, docs.schema)
