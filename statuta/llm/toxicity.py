@@ -63,27 +63,26 @@ def _stems(word: str) -> list[str]:
 
 def label_tokens(docs: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
     """Tags of the tokens of labelled documents."""
-    seen: dict[int, dict[str, set]] = {0: defaultdict(set), 1: defaultdict(set)}
-    for words, t in zip(docs, toxic, strict=True):
-        padded = ["", *words, ""]
-        for a, w, b in zip(padded, words, padded[2:], strict=False):
-            if w:
-                context = hash((a, b))
-                for f in _stems(w):
-                    seen[t][f].add(context)
-    least = max(CONTEXTS, sum(toxic) / 100)
-    bad = {f for f, c in seen[1].items() if len(c) >= least and len(c) > 50 * len(seen[0].get(f, ()))}
-    known: dict[str, bool] = {}
-    out = []
-    for words, t in zip(docs, toxic, strict=True):
-        tags = np.zeros(len(words), np.int8)
-        if t:
-            for i, w in enumerate(words):
-                if w not in known:
-                    known[w] = any(f in bad for f in _stems(w))
-                tags[i] = known[w]
-        out.append(tags)
-    return out
+    vocab: dict[str, int] = {"": 0}
+    flat = [np.array([vocab.setdefault(w, len(vocab)) for w in words], np.int64) for words in docs]
+    size = len(vocab)
+    # Which stems a word has, a row for each kind of stem.
+    names: dict[str, int] = {}
+    stems = np.full((4, size), -1, np.int64)
+    for w, k in vocab.items():
+        for row, f in enumerate(_stems(w) if w else ()):
+            stems[row, k] = names.setdefault(f, len(names))
+    contexts = np.zeros((2, len(names)), np.int64)
+    for t in (0, 1):
+        mine = [f for f, y in zip(flat, toxic, strict=True) if y == t]
+        word = np.concatenate([*mine, np.zeros(0, np.int64)])
+        around = np.concatenate([*(np.concatenate([[0], f[:-1]]) * size + np.concatenate([f[1:], [0]]) for f in mine if len(f)), np.zeros(0, np.int64)])
+        for row in stems:
+            stem = row[word]
+            contexts[t] += np.bincount(np.unique(np.stack([stem, around])[:, stem >= 0], axis=1)[0], minlength=len(names))
+    bad = (contexts[1] >= max(CONTEXTS, sum(toxic) / 100)) & (contexts[1] > 50 * contexts[0])
+    known = np.append(bad, False)[stems].any(axis=0)
+    return [known[f].astype(np.int8) if t else np.zeros(len(f), np.int8) for f, t in zip(flat, toxic, strict=True)]
 
 
 def _padded(chains: list[np.ndarray]) -> np.ndarray:
