@@ -11,7 +11,7 @@ Null and empty texts have no tokens and no sections.  Rows are independent.
 
 from __future__ import annotations
 
-import os
+import base64
 from functools import lru_cache
 
 import numpy as np
@@ -20,30 +20,42 @@ from pyspark.sql import functions as F
 
 from statuta.llm.common import map_slices, texts
 
-BATCH = 32
 
+class Encoder:
+    """Token spans of whole texts: the tokens' byte lengths are summed up and turned into code points."""
 
-@lru_cache(maxsize=2)
-def _tokenizer(source: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    from tokenizers.pre_tokenizers import ByteLevel
+    def __init__(self, source: str):
+        import public_tokenizers
+        import tiktoken
+
+        ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in source.splitlines() if line)}
+        self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, rank in ranks.items():
+            self.lengths[rank] = len(token)
 
-    out = Tokenizer.from_str(source)
-    out.encode_special_tokens = True
-    out.no_padding()
-    out.no_truncation()
-    if isinstance(out.pre_tokenizer, ByteLevel):
-        from tokenizers.processors import ByteLevel as Offsets
+    def spans(self, text: str) -> np.ndarray:
+        ids = np.array(self.encoding.encode_ordinary(text), np.int64)
+        if not len(ids):
+            return np.zeros((0, 2), np.int64)
+        ends = np.cumsum(self.lengths[ids])
+        starts = ends - self.lengths[ids]
+        if not text.isascii():
+            data = np.frombuffer(text.encode(), np.uint8)
+            character = np.cumsum((data & 0xC0) != 0x80) - 1
+            starts, ends = character[starts], character[ends - 1] + 1
+        return np.stack([starts, ends], axis=1)
 
-        out.post_processor = Offsets(trim_offsets=False)  # a token's span keeps its blanks
-    return out
+
+@lru_cache(maxsize=2)
+def encoder(source: str) -> Encoder:
+    return Encoder(source)
 
 
 def default_path() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def lines(text: str) -> np.ndarray:
@@ -83,17 +95,15 @@ def report(docs: DataFrame, path: str | None = None) -> DataFrame:
         source = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def step(batch):
-        tokenizer = _tokenizer(source.value)
+        e = encoder(source.value)
         out = {c: [] for c in ("n_tokens", "n_sections", "n_crossing", "section_tokens")}
-        whole = texts(batch.column("text"))
-        for at in range(0, len(whole), BATCH):
-            part = whole[at : at + BATCH]
-            for text, code in zip(part, tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                counts, crossing = attribute(np.array(code.offsets, np.int64).reshape(-1, 2), lines(text))
-                out["n_tokens"].append(len(code))
-                out["n_sections"].append(len(counts))
-                out["n_crossing"].append(crossing)
-                out["section_tokens"].append(",".join(map(str, counts.tolist())))
+        for text in texts(batch.column("text")):
+            spans = e.spans(text)
+            counts, crossing = attribute(spans, lines(text))
+            out["n_tokens"].append(len(spans))
+            out["n_sections"].append(len(counts))
+            out["n_crossing"].append(crossing)
+            out["section_tokens"].append(",".join(map(str, counts.tolist())))
         return {"doc_id": batch.column("doc_id"), **out}
 
     schema = "doc_id long, n_tokens long, n_sections long, n_crossing long, section_tokens string"
