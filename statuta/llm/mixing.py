@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from statuta.llm.common import cut
+
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
@@ -76,7 +78,10 @@ def plan(docs: DataFrame, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataF
     salt = F.floor(F.conv(F.substring("digest", 1, 2), 16, 10).cast("int") * SALTS / 256).cast("int")
     rows = rows.withColumn("class", size_class).withColumn("salt", salt)
     rows = rows.withColumn("block", F.concat_ws(":", "class", "salt", F.when(F.col("src").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "src"))))
+    if not keep:
+        rows = cut(rows)  # texts are read once, for their sizes
     blocks = rows.groupBy("block", "src", "class", "salt").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
+    blocks = cut(blocks)
     source = targets(blocks.groupBy("src").agg(F.sum("words").alias("source_size")))
     before = W.partitionBy("src").orderBy("class", "salt").rowsBetween(W.unboundedPreceding, -1)
     blocks = blocks.select("block", "src", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
