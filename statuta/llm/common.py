@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a fresh local one only where that is unset."""
+    """The folder named by spark.checkpoint.dir; a fresh local one only where that is unset and Spark runs in one process."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         known = tempfile.mkdtemp(prefix="statuta-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(known)
@@ -33,6 +38,51 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Shelf:
+    """Tables in the shared folder that a query needs on its way.
+
+    ``clear`` removes those that nothing reads any more; the others go when the driver's JVM ends,
+    as results are read lazily.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.at = spark, f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def _path(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.at}/{name}" if name else self.at)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Writes df and gives it back as read: its lineage is cut, and its size known to the planner."""
+        df.write.parquet(f"{self.at}/{name}")
+        path, files = self._path("")
+        files.deleteOnExit(path)
+        return self.spark.read.parquet(f"{self.at}/{name}")
+
+    def clear(self, *names: str) -> None:
+        for name in names:
+            path, files = self._path(name)
+            files.delete(path, True)
+
+
+#: A key is hot if it holds more than one in HOT rows; so there are fewer than HOT hot keys, however many rows there are.
+HOT = 1000
+
+
+def attach(rows: DataFrame, summary: DataFrame, keys: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """Joins rows with a summary of one row per key, whatever the keys' sizes.
+
+    count: the summary's column with the number of rows that a key has; total: their sum at least.
+    The fewer than HOT keys with more than total / HOT rows are joined by broadcast, the others by
+    a shuffle in which no key has more than that.  Null keys match nothing.
+    """
+    bound = max(1, total // HOT)
+    hot = F.broadcast(summary.where(F.col(count) > bound))
+    light = summary.where(F.col(count) <= bound)
+    rest = rows.join(hot.select(*keys), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(rest.join(light, keys, how))
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -42,11 +92,31 @@ def crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")))
 
 
+def _row_bytes(column: pa.Array) -> np.ndarray:
+    """Bytes of each value of a column; nested ones by their own values, null as none."""
+    kind = column.type
+    if pa.types.is_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_string(kind) or pa.types.is_large_binary(kind):
+        return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        inner = np.concatenate([[0], np.cumsum(_row_bytes(column.flatten()))])
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        return inner[ends] - inner[ends - sizes]
+    if pa.types.is_struct(kind):
+        return sum((_row_bytes(x) for x in column.flatten()), np.zeros(len(column), np.int64))
+    return np.full(len(column), column.nbytes // max(1, len(column)) + 1, np.int64)
+
+
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with few enough rows and bytes that a vectorised step stays small."""
-    rows = max(1, min(SLICE_ROWS, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes)))
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+    """Parts of a batch of at most SLICE_ROWS rows and SLICE_BYTES bytes, by the rows' own sizes; a longer row is one alone."""
+    upto = np.cumsum(sum((_row_bytes(c) for c in batch.columns), np.zeros(batch.num_rows, np.int64)))
+    at = 0
+    while at < batch.num_rows:
+        before = upto[at - 1] if at else 0
+        end = int(np.searchsorted(upto, before + SLICE_BYTES, side="right"))
+        end = min(max(end, at + 1), at + SLICE_ROWS)
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def give_back() -> None:

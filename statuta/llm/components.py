@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import cut
-
-MOST_ROUNDS = 40
+from statuta.llm.common import attach, cut
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,23 +13,26 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round links every neighbour of a node to the smallest of them (first those larger than
     the node, then those not larger) until the edges are stars.  Minima are pre-aggregated before
-    they are shuffled, and no node's neighbours are ever gathered.  Nodes without an edge to
+    they are shuffled, no node's neighbours are ever gathered, and the few nodes with more than a
+    fixed share of all edges get their minimum by broadcast, so no task holds a star's edges.
+    The number of rounds grows with the logarithm of the longest path; it has no bound of its own,
+    as every round that changes the edges links nodes to smaller ones.  Nodes without an edge to
     another node, and edges with null, are left out; an empty table gives an empty result.
     """
     now = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = cut(now)
     seen = None
-    for _ in range(MOST_ROUNDS):
+    while True:
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == seen or not state[0]:
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        seen, total = state, 2 * state[0]
         # Large star: the larger neighbours of a node go to its smallest neighbour or itself.
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"), F.count(F.lit(1)).alias("n"))
+        large = attach(both.where(F.col("b") > F.col("a")), least, ["a"], "n", total).select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = cut(large)
         # Small star: the smaller neighbours of a node, and itself, go to the smallest of them.
-        least = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(least, "a").where(F.col("b") != F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
+        least = large.groupBy("a").agg(F.min("b").alias("low"), F.count(F.lit(1)).alias("n"))
+        small = attach(large, least, ["a"], "n", total).where(F.col("b") != F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
         now = cut(small.unionByName(least.select("a", F.col("low").alias("b"))).distinct())
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        seen = state
-    raise RuntimeError("the components did not settle")
