@@ -14,21 +14,23 @@ canonical: keys sorted by code point, no blanks, no escapes but those that JSON
 
 ``from_turns`` reads plain conversations: a user's turn calls the function ``reply`` with id
 conv:turn after the one two turns before, an assistant's turn is the result for the turn before
-it, others are messages.  Null texts become null arguments or contents.  Rows with a null conv_id
-or turn have no identifier.  An empty table gives an empty result.
+it, others are messages.  Null texts become null prompts or contents.  Rows with a null conv_id
+or turn have no identifier.  Repeated (conv_id, turn) rows share an identifier, so they are
+ambiguous.  A very long body is one row's matter and is read whole.  Extra columns, whatever their
+names, are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import cut, map_slices
+from statuta.llm.common import attach, cut, map_slices
 
-MOST_ROUNDS = 48
 REPLY = {
     "reply": {
         "type": "object",
@@ -44,12 +46,32 @@ def canonical(value: Any) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
 
 
+def checked(body: str | None, name: str | None, ident: str | None, schemas: dict[str, dict]) -> tuple[bool, str]:
+    """Whether a call's body is JSON that conforms to its schema, and the call in canonical JSON.
+
+    A body that is null, no JSON, nested too deeply, or holds what canonical JSON cannot say
+    (numbers that are not finite, lone surrogates) makes the call invalid, with null arguments.
+    """
+    line = lambda arguments: canonical({"arguments": arguments, "id": ident, "name": name, "type": "call"})
+    try:
+        arguments = json.loads(body, parse_constant=_no_number)
+        out = line(arguments)
+        out.encode()
+        return name in schemas and conforms(arguments, schemas[name]), out
+    except (TypeError, ValueError, RecursionError):
+        return False, line(None)
+
+
+def _no_number(name: str) -> None:
+    raise ValueError(name)
+
+
 def conforms(value: Any, schema: dict) -> bool:
     kind = schema.get("type")
     number = isinstance(value, (int, float)) and not isinstance(value, bool)
     if kind in _TYPES and not isinstance(value, _TYPES[kind]):
         return False
-    if kind == "number" and not number or kind == "integer" and not (number and float(value).is_integer()):
+    if kind == "number" and not number or kind == "integer" and not (number and (isinstance(value, int) or value.is_integer())):
         return False
     if "enum" in schema and value not in schema["enum"]:
         return False
@@ -75,7 +97,7 @@ def from_turns(turns: DataFrame) -> DataFrame:
     call, result = F.col("kind") == "call", F.col("kind") == "result"
     return out.select(
         "conv_id", "turn", "kind", F.when(call, F.col("own")).when(result, F.col("before")).alias("id"), F.when(call, F.col("earlier")).alias("after"),
-        F.when(call, F.lit("reply")).otherwise(F.col("role")).alias("name"), F.col("text").alias("body"),
+        F.when(call, F.lit("reply")).otherwise(F.col("role")).alias("name"), F.when(call, F.to_json(F.struct(F.col("text").alias("prompt"), "turn"), {"ignoreNullFields": "false"})).otherwise(F.col("text")).alias("body"),
     )
 
 
@@ -85,7 +107,7 @@ def depths(calls: DataFrame) -> DataFrame:
     now = calls.join(known, ["conv_id", "after"], "left").select("conv_id", "id", F.when(F.col("there") == 1, F.col("after")).alias("to"), F.lit(1).cast("long").alias("depth"))
     now = cut(now)
     total = now.count()
-    for k in range(MOST_ROUNDS):
+    for k in itertools.count():
         if now.where(F.col("to").isNotNull()).isEmpty():
             break
         if 2**k > total:  # whoever still points somewhere is on a cycle or behind one
@@ -96,19 +118,19 @@ def depths(calls: DataFrame) -> DataFrame:
     return now.select("conv_id", "id", "depth")
 
 
-def link(messages: DataFrame, schemas: dict[str, dict], plain: bool = False) -> DataFrame:
-    """conv_id, turn, kind, status, depth, position, valid and canonical JSON of every message.
-
-    body is a call's arguments in JSON; with plain, a text that becomes {"prompt", "turn"}.
-    """
+def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """conv_id, turn, kind, status, depth, position, valid and canonical JSON of every message; a call's body is its arguments in JSON."""
     tagged = messages.where(F.col("id").isNotNull() & F.col("conv_id").isNotNull() & F.col("kind").isin("call", "result"))
     per_id = tagged.groupBy("conv_id", "id").agg(
-        F.sum(F.when(F.col("kind") == "call", 1).otherwise(0)).alias("calls"), F.sum(F.when(F.col("kind") == "result", 1).otherwise(0)).alias("results"), F.max("after").alias("after")
+        F.sum(F.when(F.col("kind") == "call", 1).otherwise(0)).alias("calls"), F.sum(F.when(F.col("kind") == "result", 1).otherwise(0)).alias("results"), F.max("after").alias("after"),
+        F.count(F.lit(1)).alias("many"),
     )
     per_id = cut(per_id)
+    total = per_id.agg(F.sum("many")).first()[0] or 0
     deep = depths(per_id.where("calls = 1").select("conv_id", "id", "after"))
     summary = per_id.drop("after").join(deep, ["conv_id", "id"], "left")
-    rows = messages.join(summary, ["conv_id", "id"], "left")
+    # An identifier may be repeated any number of times; ids that are null have no row in the summary.
+    rows = attach(messages, summary, ["conv_id", "id"], "many", total, "left")
     status = (
         F.when(~F.col("kind").isin("call", "result"), F.lit("message"))
         .when(F.col("calls").isNull(), F.lit("unidentified"))
@@ -123,14 +145,11 @@ def link(messages: DataFrame, schemas: dict[str, dict], plain: bool = False) ->
 
     def step(batch):
         valid, lines = [], []
-        for kind, name, ident, turn, body in zip(*(batch.column(c).to_pylist() for c in ("kind", "name", "id", "turn", "body")), strict=True):
+        for kind, name, ident, body in zip(*(batch.column(c).to_pylist() for c in ("kind", "name", "id", "body")), strict=True):
             if kind == "call":
-                try:
-                    arguments = {"prompt": body, "turn": turn} if plain else json.loads(body)
-                except (TypeError, ValueError):
-                    arguments = None
-                valid.append(name in schemas and conforms(arguments, schemas[name]))
-                lines.append(canonical({"arguments": arguments, "id": ident, "name": name, "type": "call"}))
+                ok, line = checked(body, name, ident, schemas)
+                valid.append(ok)
+                lines.append(line)
             elif kind == "result":
                 valid.append(True)
                 lines.append(canonical({"content": body, "id": ident, "type": "result"}))
@@ -143,4 +162,4 @@ def link(messages: DataFrame, schemas: dict[str, dict], plain: bool = False) ->
 
 
 def report(turns: DataFrame) -> DataFrame:
-    return link(from_turns(turns), REPLY, plain=True)
+    return link(from_turns(turns), REPLY)
