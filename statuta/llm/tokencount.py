@@ -6,12 +6,15 @@ lies inside a section counts for it; one that crosses a boundary counts for the
 most of its code points, the first of several.  So the counts of a text's sections add up to its
 tokens.  Tokens that are parts of one character have that character's span.
 
-Null and empty texts have no tokens and no sections.  Rows are independent.
+Null and empty texts have no tokens and no sections.  Rows are independent, so ties and repeated
+rows do not matter; very long texts are encoded whole, one at a time.  Extra columns, whatever
+their names, are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -21,6 +24,10 @@ from pyspark.sql import functions as F
 from statuta.llm.common import map_slices, texts
 
 
+#: Runs of white space as the library's matcher knows it, too long to be left to it.
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
+
 class Encoder:
     """Token spans of whole texts: the tokens' byte lengths are summed up and turned into code points."""
 
@@ -34,8 +41,23 @@ class Encoder:
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
 
+    def encode(self, text: str) -> list[int]:
+        """The token ids of a text.
+
+        The library's matcher overflows its stack on runs of a million blanks, so long runs are cut
+        out first.  The pattern makes all of a run but its last character one piece, and all of it
+        at the end of a text; what stands before and behind is split the same with or without it.
+        """
+        out, at = [], 0
+        for m in _RUN.finditer(text):
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            out += self.encoding.encode_ordinary(text[at : m.start()])
+            out += self.encoding._encode_single_piece(text[m.start() : end])
+            at = end
+        return out + self.encoding.encode_ordinary(text[at:]) if at else self.encoding.encode_ordinary(text)
+
     def spans(self, text: str) -> np.ndarray:
-        ids = np.array(self.encoding.encode_ordinary(text), np.int64)
+        ids = np.array(self.encode(text), np.int64)
         if not len(ids):
             return np.zeros((0, 2), np.int64)
         ends = np.cumsum(self.lengths[ids])
