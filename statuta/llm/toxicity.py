@@ -18,7 +18,9 @@ which weighs them by how many labelled documents of each class there are in all.
 
 Null and empty texts have no tokens and get the score of that.  Where no label of one class is
 known every score is the share of toxic labels, or 0 without any.  Null labels are ignored; of
-several labels for one doc_id the largest counts.  Other columns are ignored.
+several labels for one doc_id the largest counts, of several texts the first.  Repeated rows are
+scored one by one.  A very long text is worked on alone, in memory linear in its length.  Other
+columns, whatever their names, are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import crc, map_slices, texts
+from statuta.llm.common import crc, cut, map_slices, texts
 
 PER_CLASS = 1000
 MAX_CHARS = 20_000
@@ -41,7 +43,8 @@ LEAST = 8
 FOLD = 4
 STEP = 0.5
 RIDGE = 5.0
-GROUP = 256
+#: Padded cells that are worked on at once.
+CELLS = 1 << 18
 CACHED = 300_000
 _EDGES = " \t\n\r.,;:!?|\"'()[]{}<>#$%&*-_=+/\\"
 
@@ -92,17 +95,25 @@ def _padded(chains: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _groups(lengths: list[int]) -> list[list[int]]:
+    """Chains of like length together, in groups of at most CELLS cells with padding; a longer chain is one alone."""
+    out: list[list[int]] = []
+    for k in sorted(range(len(lengths)), key=lengths.__getitem__):
+        if not out or (len(out[-1]) + 1) * lengths[k] > CELLS:
+            out.append([])
+        out[-1].append(k)
+    return out
+
+
 def marginals(chains: list[np.ndarray], moves: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Probabilities of tag 1 along chains with the given evidence, and expected numbers of moves (2, 2).
 
     Forward and backward messages are kept as odds of tag 1, so they need no scaling.
     """
     t = np.exp(moves)
-    order = sorted(range(len(chains)), key=lambda k: len(chains[k]))
     out: list[np.ndarray] = [np.zeros(0)] * len(chains)
     expected = np.zeros((2, 2))
-    for at in range(0, len(order), GROUP):
-        group = order[at : at + GROUP]
+    for group in _groups([len(c) for c in chains]):
         lengths = np.array([len(chains[k]) for k in group])
         evidence = np.exp(np.clip(_padded([chains[k] for k in group]), -60, 60))
         n = len(evidence)
@@ -240,15 +251,15 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Field | float:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(usable & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     short = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.length("text").alias("size")).where(F.col("size") <= MAX_CHARS)
-    pool = known.join(short, "doc_id")
+    pool = cut(known.join(short, "doc_id"))
     counts = {0: 0, 1: 0} | {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     if not counts[0] or not counts[1]:
         return counts[1] / max(1, counts[0] + counts[1])
-    picks = [pool.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS) for c in (0, 1)]
-    chosen = [(r["doc_id"], r["toxic"]) for p in picks for r in p.select("doc_id", "toxic").collect()]
-    ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int")
+    picks = [pool.where(F.col("toxic") == c).select("doc_id", "toxic").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS) for c in (0, 1)]
+    ids = picks[0].unionByName(picks[1])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= MAX_CHARS).join(F.broadcast(ids), "doc_id")  # 2 * PER_CLASS rows
-    sample = sorted({(r["doc_id"], r["text"], r["toxic"]) for r in rows.collect()})[: 4 * PER_CLASS]
+    # Of rows with one doc_id the first text counts, so that at most 2 * PER_CLASS rows reach the driver.
+    sample = sorted(tuple(r) for r in rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic").collect())
     if len({t for _, _, t in sample}) < 2:
         return counts[1] / (counts[0] + counts[1])
     return train([t for _, t, _ in sample], [y for _, _, y in sample], counts)
