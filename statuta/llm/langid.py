@@ -3,14 +3,15 @@
 Every character of a word has a random vector of DIM signs, drawn from its code point.  The vector
 of an n-gram is the product of its characters' vectors, each rotated by its distance from the end
 (binding by permutation), and a text is the sum of its n-grams' vectors (bundling).  A language's
-prototype is the sum over all its learning documents, each scaled to length one by its number of
+prototype is the mean over all its learning documents of the sum divided by the number of
 n-grams; what all prototypes have in common is taken off them and off the documents.  A text gets the language whose
 prototype has the largest cosine with its vector; ties go to the language first by code point.
 
 Texts are lower-cased; runs of characters that are no letters become one space, also at both ends.
 Null texts and texts without a letter are ``und`` with score 0, as is every text where nothing was
 learned.  Null languages are not learned from.  Rows are independent, so repeated rows and extra
-columns do not matter.
+columns, whatever their names, do not matter.  A very long text is worked on alone, in memory
+linear in its length.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +30,12 @@ UNKNOWN = "und"
 SEED = 20_240_601
 DENSE = 1 << 21
 COLUMNS = 4096
+#: Languages that are learned, the most frequent first.
+LANGUAGES = 1000
+#: Of the expected cosine; a text with less is in no learned language.
+SHARE = 0.4
+TELLING = 0.6
+LEAST = 30
 
 
 @lru_cache(maxsize=1)
@@ -100,13 +107,18 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def learn(docs: DataFrame, usable: Column | None = None) -> dict[str, np.ndarray]:
-    """Prototypes by language, summed over all usable rows with text and language.
+def learn(docs: DataFrame, usable: Column | None = None) -> tuple[dict[str, np.ndarray], dict[str, int]]:
+    """Prototypes by language, the mean n-gram vector over all usable rows with text and language; and the numbers of these rows.
 
-    Tasks add up their own documents; what reaches the driver is one vector per language.
+    The LANGUAGES most frequent languages are learned, so a task, the driver and the broadcast
+    hold so many vectors at most.  Tasks add up their own documents.
     """
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     rows = (rows.where(usable) if usable is not None else rows).select("text", "lang")
+    often = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    known = {r["lang"]: r["n"] for r in often.collect()}
+    if len(known) == LANGUAGES:
+        rows = rows.where(F.col("lang").isin(list(known)))
 
     def sums(batches):
         import pyarrow as pa
@@ -137,39 +149,69 @@ def learn(docs: DataFrame, usable: Column | None = None) -> dict[str, np.ndarray
         vector = np.zeros(DIM)
         for axis, value in values:
             vector[axis] = value
-        out[lang] = vector / max(1e-9, float(np.linalg.norm(vector)))
-    return out
+        out[lang] = vector / 2**20 / known[lang]
+    return out, known
 
 
 class Profiles:
     """Prototypes made ready for comparison."""
 
-    def __init__(self, prototypes: dict[str, np.ndarray]):
+    def __init__(self, prototypes: dict[str, np.ndarray], taught: dict[str, int] | None = None):
         self.names = sorted(prototypes)
-        self.mean = np.mean([prototypes[x] for x in self.names], axis=0) if len(self.names) > 1 else np.zeros(DIM)
-        own = np.array([prototypes[x] - self.mean for x in self.names]).reshape(len(self.names), DIM)
-        self.own = own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
-
-    def predict(self, batch: list[str]) -> tuple[list[str], list[float]]:
-        vectors, _ = bundles(batch)
+        self.sure = np.array([(taught or {}).get(x, 0) >= LEAST for x in self.names])
+        unit = {x: prototypes[x] / max(1e-9, float(np.linalg.norm(prototypes[x]))) for x in self.names}
+        self.mean = np.mean([unit[x] for x in self.names], axis=0) if len(self.names) > 1 else np.zeros(DIM)
+        own = np.array([unit[x] - self.mean for x in self.names]).reshape(len(self.names), DIM)
+        size = np.linalg.norm(own, axis=1, keepdims=True)
+        self.own = own / np.maximum(size, 1e-9)
+        # What is a language's own in its mean n-gram, squared.
+        self.strength = np.array([float((prototypes[x] @ o) ** 2) for x, o in zip(self.names, self.own, strict=True)])
+
+    def cosines(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines with each language (texts, languages), and the texts' numbers of n-grams."""
+        vectors, n = bundles(batch)
         unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         # What all languages share is taken off the text as far as the text has it.
         common = float(self.mean @ self.mean)
         if common > 0:
             unit = unit - (unit @ self.mean / common)[:, None] * self.mean
             unit = unit / np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9)
+        return unit @ self.own.T, n
+
+    def predict(self, batch: list[str]) -> tuple[list[str], list[float]]:
         known = [bool(self.names) and has_letter(t) for t in batch]
         if not self.names:
             return [UNKNOWN] * len(batch), [0.0] * len(batch)
-        cosines = unit @ self.own.T
+        cosines, _ = self.cosines(batch)
         best = cosines.argmax(axis=1)
         top = np.clip(cosines[np.arange(len(batch)), best], 0, 1)
         return [self.names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], [float(s) if k else 0.0 for s, k in zip(top, known, strict=True)]
 
+    def expected(self, n: np.ndarray, language: np.ndarray) -> np.ndarray:
+        """The cosine with its language that a text of n n-grams, drawn from the language one by one, has.
+
+        Its vector is n times the language's mean n-gram and n random parts of squared length DIM.
+        """
+        signal = n * self.strength[language]
+        return np.sqrt(signal / (signal + DIM))
+
+    def accept(self, batch: list[str]) -> list[str | None]:
+        """The language of each text, or None where it is in none that was learned.
+
+        A text is turned away if it has no letter, or if its cosine is below SHARE of what its
+        language and length let expect.  It stays where that is below TELLING, the text being too
+        short to tell, or where fewer than LEAST documents have taught the language.
+        """
+        cosines, n = self.cosines(batch)
+        best = cosines.argmax(axis=1)
+        top, wanted = cosines[np.arange(len(batch)), best], self.expected(n, best)
+        bad = self.sure[best] & (wanted >= TELLING) & (top < SHARE * wanted)
+        return [self.names[b] if has_letter(t) and not no else None for t, b, no in zip(batch, best, bad, strict=True)]
+
 
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Predicted language and score of every row, with the columns in keep."""
-    profiles = docs.sparkSession.sparkContext.broadcast(Profiles(prototypes))  # languages times DIM numbers
+    profiles = docs.sparkSession.sparkContext.broadcast(Profiles(prototypes))  # at most LANGUAGES times DIM numbers
     docs = docs.select("text", *keep)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
@@ -182,17 +224,19 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str
 
 def report(docs: DataFrame) -> DataFrame:
     held_out = crc(F.col("doc_id")) % 4 == 2
-    prototypes = learn(docs, ~held_out)
+    prototypes, _ = learn(docs, ~held_out)
     return identify(docs.withColumn("doc_id", F.col("doc_id").cast("long")), prototypes).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The documents that have a language, with their columns as they were.
+    """The documents that are in a language of the corpus, with their columns; a null lang is filled in.
 
-    Only ``und`` is turned away: a low cosine tells short texts from long ones, not bad from good.
+    Where nothing could be learned, as no row has a text with a language, all rows stay as they are.
     """
-    prototypes = learn(docs)
-    profiles = docs.sparkSession.sparkContext.broadcast(Profiles(prototypes))
+    prototypes, taught = learn(docs)
+    if not prototypes:
+        return docs
+    profiles = docs.sparkSession.sparkContext.broadcast(Profiles(prototypes, taught))  # at most LANGUAGES times DIM numbers
 
     def run(batches):
         import pyarrow as pa
@@ -201,8 +245,11 @@ def accepted(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for part in slices(batch):
-                langs, _ = profiles.value.predict(texts(part.column("text")))
-                yield part.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
+                found = profiles.value.accept(texts(part.column("text")))
+                lang = [new if old is None else old for old, new in zip(part.column("lang").to_pylist(), found, strict=True)]
+                columns = {c: part.column(c) for c in part.schema.names} | {"lang": pa.array(lang, part.schema.field("lang").type)}
+                part = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                yield part.filter(pa.array([x is not None for x in found], pa.bool_()))
         give_back()
 
     return docs.mapInArrow(run, docs.schema)
