@@ -4,23 +4,32 @@ The automaton starts with one state that every base symbol leaves and re-enters.
 merge k, (u, v) -> w, works on the state p that the arcs labelled u enter: p is copied without its
 arc v, the arcs u are led to the copy, and w gets an arc from wherever u has one to where v led.
 So a state is known by the token that enters it, its arcs only depend on the merges before it,
-and an arc can be looked up by walking the gadgets back (``Automaton.arc``); looked-up arcs are
-kept in a table.  The paths of the automaton spell exactly the correct tokenisations, and every
-prefix of a word has exactly one, hence encoding reads a word left to right and notes for each
-position the one token that can end there.  Decoding emits the labels of the arcs.
-
-Normalisation and pre-splitting are those of the vocabulary file's configuration: NFC, runs of
-white space to one space, lower case character by character, then the file's split pattern.
-Special tokens are cut out of the raw text first.
-
-Null text is empty and has no tokens.  Very long words take time linear in their length times
-the longest token.  Rows are independent, so ties, repeated rows and extra columns do not matter.
+and the successive gadgets are kept as what each changes: the arc that it takes away, and the state
+and arcs that its new token inherits (``Automaton.arc`` follows that).  Spelt out, the arcs would be
+tokens times tokens, too many for an executor.  The paths of the automaton spell exactly the
+correct tokenisations, and every prefix of a word has exactly one.
+
+Words are read byte by byte by the deterministic form of that automaton.  Its states say which
+suffix of what was read can still grow into a token, and which tokens end where such a token may
+begin; so a state and a byte give the one token that ends there, and the next state.  Transitions are
+worked out when first met and kept in a table.  Encoding is one look-up a byte, and a walk
+back over the tokens that the states name.  Decoding emits the labels of the arcs.
+
+Normalisation and pre-splitting are those of the vocabulary file's configuration.  Special tokens
+are cut out of the raw text first.  For texts of the first 256 code points, where they come down to
+lower case and one pattern, Python's own do them; other texts are left to the library's normaliser
+and splitter, whose tables of Unicode differ from Python's.
+
+Null text is empty and has no tokens.  Very long texts and words take time and memory linear in
+their length.  Rows are independent, so ties, repeated rows and extra columns, whatever their
+names, do not matter.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from functools import lru_cache
 from hashlib import sha256
@@ -32,6 +41,8 @@ from statuta.llm.common import map_slices, texts
 
 CACHED_WORDS = 100_000
 CACHED_ARCS = 300_000
+CACHED_STATES = 100_000
+TOKEN, OPEN = 0, 1
 LONG_WORD = 48
 
 
@@ -50,7 +61,7 @@ class Automaton:
         alphabet = byte_alphabet()
         # A last symbol, which carries the suffix, is one character like the others.
         last = {c: chr(0xE000 + b) for b, c in enumerate(alphabet)}
-        self.inner, self.last = alphabet, [last[c] for c in alphabet]
+        self.inner, self.final = alphabet, last
 
         def spelt(token: str) -> str:
             return token[: -len(suffix) - 1] + last[token[-len(suffix) - 1]] if suffix and token.endswith(suffix) and len(token) > len(suffix) else token
@@ -68,8 +79,19 @@ class Automaton:
                 raise ValueError("two merges make one token")
             self.born[w], self.left[w], self.right[w] = k, a, b
             self.ids[spelt(self.labels[w])] = w
-        self.prefixes = {t[:i] for t in self.ids for i in range(1, len(t) + 1)}
+        self.prefixes = {t[:i] for t in self.ids for i in range(1, len(t))}
+        self.length = {i: len(t) for t, i in self.ids.items()}
         self.table: dict[int, bool] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """The start state alone: nothing read, no token before.
+
+        A state is a row of the table: by byte the next state, under TOKEN the token that ends there,
+        under OPEN the suffix that can still grow and the tokens that end where it may begin.
+        """
+        self.start: dict = {TOKEN: -1, OPEN: ("", (-1,))}
+        self.states: dict[tuple[str, tuple[int, ...]], dict] = {self.start[OPEN]: self.start}
 
     def arc(self, state: int, token: int) -> bool:
         """Whether the finished automaton has an arc for the token out of the state."""
@@ -96,46 +118,44 @@ class Automaton:
                 # The state is the one that its right part entered before its own gadget.
                 state, upto = self.right[state], born[state]
 
-    def word(self, data: bytes) -> list[int]:
-        """The tokens of one pre-split word, given in UTF-8.
-
-        Tries the longest arc first and goes back where a path ends before the word does.  As a
-        prefix has one path only, a position that was left once need not be entered again.
-        """
-        if not data:
+    def _step(self, state: dict, symbol: str) -> dict:
+        """The transition of the deterministic form, entered in the table."""
+        grown, ends = state[OPEN]
+        grown += symbol
+        for k in range(len(grown)):
+            token = self.ids.get(grown[k:])
+            if token is not None and (ends[k] < 0 or self.arc(ends[k], token)):
+                break
+        else:
+            raise ValueError(f"no token for {symbol!r}")
+        ends = (*ends, token)
+        k = 0
+        while k < len(grown) and grown[k:] not in self.prefixes:
+            k += 1
+        # Only ends where a token can begin tell states apart; the last is the token itself.
+        key = grown[k:], tuple([ends[i] if i == len(grown) or grown[i:] in self.prefixes else 0 for i in range(k, len(ends))])
+        new = state[symbol] = self.states.setdefault(key, {TOKEN: token, OPEN: key})
+        return new
+
+    def word(self, text: str) -> list[int]:
+        """The tokens of one pre-split word, given as the stand-ins of its bytes."""
+        if not text:
             return []
-        text = "".join([self.inner[b] for b in data[:-1]]) + self.last[data[-1]]
-        n, ids, prefixes, table = len(text), self.ids, self.prefixes, self.table
-        path: list[int] = []
-        starts, seen = [0], set()
-        j, limit = 0, n
-        while True:
-            i = j + 1
-            while i < limit and text[j : i + 1] in prefixes:
-                i += 1
-            # Down from the longest: limit is one less than what was tried before at this position.
-            while i > j:
-                t = ids.get(text[j:i])
-                if t is not None and i not in seen:
-                    if not path:
-                        break
-                    state = path[-1]
-                    known = table.get(state << 32 | t)
-                    if self.arc(state, t) if known is None else known:
-                        break
-                i -= 1
-            if i > j:
-                path.append(t)
-                if i == n:
-                    return path
-                starts.append(i)
-                j, limit = i, n
-            else:
-                seen.add(j)
-                limit = j - 1
-                starts.pop()
-                path.pop()
-                j = starts[-1]
+        if len(self.states) > CACHED_STATES:
+            self._forget()
+        state, path = self.start, []
+        for symbol in text[:-1] + self.final[text[-1]]:
+            try:
+                state = state[symbol]
+            except KeyError:
+                state = self._step(state, symbol)
+            path.append(state)
+        out, at, length = [], len(path), self.length
+        while at:
+            token = path[at - 1][TOKEN]
+            out.append(token)
+            at -= length[token]
+        return out[::-1]
 
 
 def _latin_1(split: str) -> str:
@@ -151,47 +171,55 @@ class Encoder:
     """Encodes and decodes whole texts with a vocabulary file's contents."""
 
     def __init__(self, source: str):
-        import regex
+        from tokenizers import Tokenizer
 
         spec = json.loads(source)
-        model = spec["model"]
-        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]], model["type"], spec["decoder"]
-        if kinds != (["NFC", "Replace", "Lowercase"], "BPE", None):
+        model, added = spec["model"], spec["added_tokens"]
+        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]], model["type"], spec["decoder"], [p["type"] for p in spec["pre_tokenizer"]["pretokenizers"]]
+        if kinds != (["NFC", "Replace", "Lowercase"], "BPE", None, ["Split", "ByteLevel"]):
             raise ValueError(f"no such tokenizer is known: {kinds}")
+        if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+            raise ValueError("special tokens must be matched in the raw text, as they are")
         self.automaton = Automaton(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"] or "")
-        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.split = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
-        self.split_latin = re.compile(_latin_1(split)).findall
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        library = Tokenizer.from_str(source)
+        self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+        self.split_latin = re.compile(_latin_1(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])).findall
+        self.special = {t["content"]: t["id"] for t in added}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if added else None
         self.labels = self.automaton.labels | {i: t for t, i in self.special.items()}
         self.cache: dict[str, bytes] = {}
+        self.foreign: dict[str, bytes] = {}
+
+    def _latin_word(self, word: str) -> bytes:
+        inner = self.automaton.inner
+        return self._kept(self.cache, word, "".join([inner[b] for b in word.encode()]))
+
+    def _foreign_word(self, word: str) -> bytes:
+        return self._kept(self.foreign, word, word)
 
-    def _word(self, word: str) -> bytes:
-        code = b"".join(i.to_bytes(4, "little") for i in self.automaton.word(word.encode()))
+    def _kept(self, cache: dict[str, bytes], word: str, symbols: str) -> bytes:
+        tokens = self.automaton.word(symbols)
+        code = struct.pack(f"<{len(tokens)}I", *tokens)
         if len(word) <= LONG_WORD:
-            if len(self.cache) >= CACHED_WORDS:
-                self.cache.clear()
-            self.cache[word] = code
+            if len(cache) >= CACHED_WORDS:
+                cache.clear()
+            cache[word] = code
         return code
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
-            # Lower case goes by character, so a final sigma gets no special form.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                get, make = self.foreign.get, self._foreign_word
+                return b"".join([get(w) or make(w) for w, _ in self.split(self.normalise(text))])
         # No piece holds white space, so replacing runs of it by one space changes none.
-        try:
-            text.encode("latin-1")
-            words = self.split_latin(text)
-        except UnicodeEncodeError:
-            words = self.split(text)
-        get, make = self.cache.get, self._word
-        return b"".join([get(w) or make(w) for w in words])
+        get, make = self.cache.get, self._latin_word
+        return b"".join([get(w) or make(w) for w in self.split_latin(text.lower())])
 
     def encode(self, text: str) -> bytes:
         """The token ids as little-endian unsigned 32-bit integers."""
-        if "<|" not in text:
+        if self.cut is None or not any(t in text for t in self.special):
             return self._plain(text)
         out = []
         for part in self.cut.split(text):

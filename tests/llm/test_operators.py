@@ -287,7 +287,7 @@ def test_automaton_spells_exactly_the_tokenisations():
             while (best := min((rank.get(p, math.inf) for p in itertools.pairwise(parts)), default=math.inf)) < math.inf:
                 k = next(k for k, p in enumerate(itertools.pairwise(parts)) if rank.get(p) == best)
                 parts[k : k + 2] = [parts[k] + parts[k + 1]]
-            assert machine.word("".join(word).encode()) == [vocab[p] for p in parts]
+            assert machine.word("".join(word)) == [vocab[p] for p in parts]
 
 
 # 8 -------------------------------------------------------------------------------------------
@@ -422,3 +422,18 @@ def test_toxicity(spark, docs, empty):
     assert (held.predicted == held.toxic).mean() >= 0.9 and ((held.score >= 0.5) == held.predicted).all() and got.score.between(0, 1).all()
     assert toxicity.report(docs, labels).count() == docs.count() and toxicity.report(empty, labels).count() == 0
     assert {r["score"] for r in toxicity.report(docs, labels.where("false")).collect()} == {0.0}
+
+
+def test_bpe_equals_the_library_whatever_the_version_of_unicode():
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    t, e = Tokenizer.from_file(bpe.default_path()), bpe.encoder(open(bpe.default_path(), encoding="utf-8").read())
+    rng, points = np.random.default_rng(11), [c for c in (*range(0x30000), *range(0xE0000, 0xE0200)) if not 0xD800 <= c < 0xE000]
+    marks = [chr(c) for c in points if unicodedata.category(chr(c))[0] == "M"]
+    every = [f"a{chr(c)}b" for c in points] + [f"a{''.join(rng.choice(marks, 3))}b" for _ in range(3000)] + ["".join(map(chr, rng.choice(points, 30))) for _ in range(2000)]
+    every += ["".join(map(chr, rng.integers(0, 256, 60))) for _ in range(2000)] + ["x" * 30_000, "ab" * 20_000 + "é", "\t" * 5000 + "ж", " <|endoftext|><|startoftext|>x", "<|endoftext|"]
+    for text, want in zip(every, t.encode_batch(every, add_special_tokens=False), strict=True):
+        code = e.encode(text)
+        assert np.frombuffer(code, "<u4").tolist() == want.ids and e.decode(code) == t.decode(want.ids, skip_special_tokens=False), text
