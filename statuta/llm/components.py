@@ -19,17 +19,16 @@ def components(edges: DataFrame) -> DataFrame:
     as every round that changes the edges links nodes to smaller ones.  Nodes without an edge to
     another node, and edges with null, are left out; an empty table gives an empty result.
     """
-    now = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = cut(now)
-    seen = None
+    now = cut(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        seen, total = state, 2 * state[0]
-        # Large star: the larger neighbours of a node go to its smallest neighbour or itself.
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"), F.count(F.lit(1)).alias("n"))
+        smaller = F.count_if(F.col("b") < F.col("a"))
+        least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"), F.count(F.lit(1)).alias("n"), smaller.alias("smaller")))
+        # Stars are done: a node has one smaller neighbour and no other, or larger ones alone.
+        total, left = least.agg(F.sum("n"), F.count_if((F.col("smaller") > 1) | (F.col("smaller") > 0) & (F.col("n") > F.col("smaller")))).first()
+        if not left:
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(least.where("smaller = 0").select(F.col("a").alias("node"), F.col("a").alias("root")))
+        # Large star: the larger neighbours of a node go to its smallest neighbour or itself.
         large = attach(both.where(F.col("b") > F.col("a")), least, ["a"], "n", total).select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = cut(large)
         # Small star: the smaller neighbours of a node, and itself, go to the smallest of them.
