@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,6 +84,41 @@ def attach(rows: DataFrame, summary: DataFrame, keys: list[str], count: str, tot
     return rows.join(hot, keys).unionByName(rest.join(light, keys, how))
 
 
+#: Bits of a sieve, whatever it holds: 4 MB.
+SIEVE_BITS = 1 << 25
+
+
+def sieve(digests: DataFrame) -> Callable[[Column], Column]:
+    """A test of 64-bit digests for a one-column table of them: true for all of these and few others.
+
+    It is a Bloom filter of fixed size, put together by the tasks.  Where the table is so large
+    that most bits are set it lets most digests pass, so what follows must decide exactly.
+    """
+    c = F.col(digests.columns[0])
+    mask = F.lit(SIEVE_BITS - 1).cast("long")
+    places = F.explode(F.array(*(F.shiftrightunsigned(c, shift).bitwiseAND(mask) for shift in _SHIFTS))).alias("place")
+    words = digests.select(places).groupBy(F.shiftright("place", 6).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
+    found = words.toArrow()  # at most SIEVE_BITS / 64 rows
+    bits = np.zeros(SIEVE_BITS // 64, np.int64)
+    bits[found["at"].to_numpy()] = found["bits"].to_numpy()
+    shared = digests.sparkSession.sparkContext.broadcast(bits.tobytes())
+
+    @F.pandas_udf("boolean")
+    def passes(digest: pd.Series) -> pd.Series:
+        words = np.frombuffer(shared.value, np.uint64)
+        x = digest.to_numpy(np.int64).view(np.uint64)
+        out = np.ones(len(x), bool)
+        for shift in _SHIFTS:
+            at = (x >> np.uint64(shift)) & np.uint64(SIEVE_BITS - 1)
+            out &= (words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return pd.Series(out)
+
+    return passes
+
+
+_SHIFTS = (0, 19, 39)
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
