@@ -7,12 +7,12 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from statuta.llm import bpe, langid, mixing, neardup, pii
-from statuta.llm.common import shared_dir
+from statuta.llm.common import Shelf
 from statuta.ship import ship
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is recognised."""
+    """Keeps the documents that are in a language of the corpus."""
     return langid.accepted(docs)
 
 
@@ -36,7 +36,6 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.report(docs)
 
 
-
 def _shipped(stage):
     return wraps(stage)(lambda spark, docs, sf_dir: stage(ship(spark), docs, sf_dir))
 
@@ -50,11 +49,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    top = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    shelf = Shelf(spark, "pipeline")
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{top}/{name}")
-        docs = spark.read.parquet(f"{top}/{name}")
+        docs = shelf.put(stage(spark, docs, sf_dir), name)
+        if last:
+            shelf.clear(last)
+        last = name
     return STAGES[-1][1](spark, docs, sf_dir)
