@@ -1,25 +1,29 @@
 """Near-duplicate embeddings by product quantisation.
 
-Vectors of one label and dimension are compared.  A coarse quantiser of LISTS centroids and
-residual codebooks of SUBSPACES times CODES entries are fitted on a bounded sample (SAMPLE
-vectors, by hash).  Every vector is then put in the list of its nearest centroid with its residual
-code and the length of what the code leaves over.  A vector searches every list that can hold a
-vector within the radius of the threshold: one whose bisecting plane with its own centroid is no
-farther than the radius.  In a list, table look-ups give the distance to each code; with the left
-over length as slack the triangle inequality rules out pairs without losing any, and the exact
-cosine in double precision decides the rest.  So recall is 1 up to rounding.
-
-Equal vectors of a label are one class with a count.  Lists are searched in pieces of at most
-BASES stored and QUERIES searching vectors, so a hot list is spread over many tasks, and tasks
+Vectors of one label and dimension are compared.  A coarse quantiser and residual codebooks of
+SUBSPACES times CODES entries are fitted on a bounded sample (SAMPLE vectors, by hash).  The
+quantiser has about LISTS_PER_ROOT times the square root of the number of vectors as lists, at most
+MOST_LISTS; for each label they are cut into groups of neighbours of about WHOLE vectors.  Every vector is put in the list of its nearest centroid with
+its residual code and the length of what the code leaves over.  A vector searches every list that
+can hold a vector within the radius of the threshold: one whose bisecting plane with its own
+centroid is no farther than the radius.  It goes once to every group with such a list.  Table look-ups
+give the distance to each code; with the left over length as slack the triangle inequality rules
+out pairs without losing any, and the exact cosine in double precision decides the rest.  So recall
+is 1 up to rounding.
+
+Equal vectors of a label are one class with a count.  Groups are searched in pieces of at most
+BASES stored and QUERIES searching vectors, so a hot group is spread over many tasks, and tasks
 report counts and stars of links, never all pairs.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and those without a
-label, link with nothing.  Repeated rows are vectors of their own.  Extra columns are ignored.
+label, link with nothing.  Repeated rows are vectors of their own, also with one vec_id.  A very
+long vector is one row's matter.  Extra columns, whatever their names, are ignored.  An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
-import uuid
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -28,18 +32,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import arrow_schema, cut, shared_dir, slices
+from statuta.llm.common import Shelf, arrow_schema, attach, cut, slices
 from statuta.llm.components import components
 
 COSINE = 0.98
 SAMPLE = 8192
-LISTS = 32
+LISTS_PER_ROOT = 2.0
+MOST_LISTS = 1024
+WHOLE = 8192
 SUBSPACES = 16
 CODES = 64
-ROUNDS = 8
-BASES = 4096
+ROUNDS = 6
+BASES = 8192
 QUERIES = 16384
-SLACK = 1e-6
+SLACK = 1e-5
 BLOCK = 1 << 22
 
 
@@ -48,8 +54,10 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     for _ in range(ROUNDS):
         near = _squared(x, centres).argmin(axis=1)
         counts = np.bincount(near, minlength=len(centres))
+        order = np.argsort(near, kind="stable")
+        found, starts = np.unique(near[order], return_index=True)
         sums = np.zeros_like(centres)
-        np.add.at(sums, near, x)
+        sums[found] = np.add.reduceat(x[order], starts, axis=0)
         centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
     return centres
 
@@ -61,26 +69,31 @@ def _squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 class Index:
     """The quantisers of one dimension; fitted on unit vectors."""
 
-    def __init__(self, sample: np.ndarray, seed: int = 9):
+    def __init__(self, sample: np.ndarray, lists: int, seed: int = 9):
         rng = np.random.default_rng(seed)
         self.dim = sample.shape[1]
         self.cuts = np.linspace(0, self.dim, min(SUBSPACES, self.dim) + 1).astype(int)
-        self.centres = _kmeans(sample, LISTS, rng)
+        self.centres = _kmeans(sample, lists, rng)
         rest = sample - self.centres[_squared(sample, self.centres).argmin(axis=1)]
         self.books = [_kmeans(rest[:, a:b], CODES, rng) for a, b in zip(self.cuts[:-1], self.cuts[1:], strict=True)]
         self.apart = np.sqrt(_squared(self.centres, self.centres))
+        # Lists in an order in which neighbours mostly stand together, to be cut into groups.
+        near = _squared(self.centres, _kmeans(self.centres, math.ceil(math.sqrt(len(self.centres))), rng)).argmin(axis=1)
+        self.rank = np.argsort(np.argsort(near, kind="stable"))
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """List, code and left-over length of unit vectors."""
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """List, code, left-over length, and the part of a distance that is the coded vector's alone, of unit vectors."""
         where = _squared(x, self.centres).argmin(axis=1)
-        rest = x - self.centres[where]
+        centre = self.centres[where]
+        rest = x - centre
         codes = np.empty((len(x), len(self.books)), np.uint8)
-        left = np.zeros(len(x))
+        left, own = np.zeros(len(x)), np.zeros(len(x))
         for m, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True)):
-            d = _squared(rest[:, a:b], self.books[m])
-            codes[:, m] = d.argmin(axis=1)
-            left += ((rest[:, a:b] - self.books[m][codes[:, m]]) ** 2).sum(axis=1)
-        return where, codes, np.sqrt(left)
+            codes[:, m] = _squared(rest[:, a:b], self.books[m]).argmin(axis=1)
+            said = self.books[m][codes[:, m]]
+            left += ((rest[:, a:b] - said) ** 2).sum(axis=1)
+            own += (said * said).sum(axis=1) + 2 * (said * centre[:, a:b]).sum(axis=1)
+        return where, codes, np.sqrt(left), own
 
     def probes(self, x: np.ndarray, radius: float) -> np.ndarray:
         """Which lists (rows: vectors) may hold a vector within the radius."""
@@ -89,12 +102,15 @@ class Index:
         beyond = d - d[np.arange(len(x)), own][:, None]
         return beyond <= 2 * (radius + SLACK) * self.apart[own] + SLACK
 
-    def distances(self, queries: np.ndarray, centre: int, codes: np.ndarray) -> np.ndarray:
-        """Squared distances from queries to the coded vectors of a list, by tables."""
-        rest = queries - self.centres[centre]
-        out = np.zeros((len(queries), len(codes)), np.float32)
+    def tables(self, queries: np.ndarray) -> np.ndarray:
+        """Twice the products of queries with every entry of the codebooks (queries, subspaces, CODES).
+
+        The squared distance to a coded vector is that to its list's centroid, plus the vector's
+        own part, less one entry for each subspace.
+        """
+        out = np.zeros((len(queries), len(self.books), CODES), np.float32)
         for m, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True)):
-            out += _squared(rest[:, a:b], self.books[m]).astype(np.float32)[:, codes[:, m]]
+            out[:, m, : len(self.books[m])] = 2 * queries[:, a:b] @ self.books[m].T
         return out
 
 
@@ -135,47 +151,90 @@ def _classes(vectors: DataFrame) -> DataFrame:
 
 def _table(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    # Structs are given as tuples in their fields' order.
+    return pa.RecordBatch.from_arrays([_column(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _column(values, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_list(kind) and pa.types.is_struct(kind.value_type):
+        names = [f.name for f in kind.value_type]
+        values = [[dict(zip(names, x, strict=True)) for x in v] for v in values]
+    return pa.array(values, type=kind)
 
 
 def fit(classes: DataFrame) -> dict[int, Index]:
     """An index for each dimension found in a sample of SAMPLE classes, chosen by hash."""
+    lists = min(MOST_LISTS, math.ceil(LISTS_PER_ROOT * math.sqrt(classes.count())))
     rows = classes.select("key", "dim", "raw").orderBy(F.xxhash64("key")).limit(SAMPLE).collect()
     by_dim: dict[int, list[bytes]] = {}
     for r in rows:
         by_dim.setdefault(r["dim"], []).append(bytes(r["raw"]))
-    return {d: Index(_unit(x, d)) for d, x in by_dim.items()}
+    return {d: Index(_unit(x, d), lists) for d, x in by_dim.items()}
 
 
-_PLACED = "label string, dim int, list int, query boolean, key binary, many long, raw binary, code binary, left_over double"
+_INDEXED = "label string, dim int, key binary, many long, raw binary, group int, list int, code binary, left_over double, own double, lists binary, probes array<struct<group: int, lists: binary>>"
 
 
-def _place(classes: DataFrame, shared, radius: float) -> DataFrame:
-    """Each class once in its list and once, as a query, in every list that it searches."""
-    schema = arrow_schema(_PLACED)
+def _index(classes: DataFrame, shared, radius: float) -> DataFrame:
+    """Each class with its place in the index, the lists that it searches in its own group, and those in others."""
+    schema = arrow_schema(_INDEXED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 rows = list(zip(*(part.column(c).to_pylist() for c in ("label", "dim", "key", "many", "raw")), strict=True))
+                pieces = part.column("pieces").to_numpy()
                 out = []
                 for dim in {r[1] for r in rows}:
-                    here = [r for r in rows if r[1] == dim]
+                    mine = [k for k, r in enumerate(rows) if r[1] == dim]
+                    here = [rows[k] for k in mine]
                     index = shared.value.get(dim)
                     if index is None:  # a dimension that the sample lacks: one list, searched exactly
-                        for label, _, key, many, raw in here:
-                            out += [(label, dim, -1, q, key, many, raw, None, None) for q in (False, True)]
+                        out += [(*r, 0, 0, None, None, None, b"", []) for r in here]
                         continue
                     x = _unit([r[4] for r in here], dim)
-                    where, codes, left = index.encode(x)
-                    probes = index.probes(x, radius)
-                    for i, (label, _, key, many, raw) in enumerate(here):
-                        out.append((label, dim, int(where[i]), False, key, many, raw, codes[i].tobytes(), float(left[i])))
-                        out += [(label, dim, int(c), True, key, many, raw, None, None) for c in np.flatnonzero(probes[i])]
+                    where, codes, left, own = index.encode(x)
+                    probes, n = index.probes(x, radius), len(index.centres)
+                    for i, r in enumerate(here):
+                        lists = np.flatnonzero(probes[i]).astype(np.uint16)
+                        groups = index.rank[lists] * min(n, pieces[mine[i]]) // n
+                        group = int(index.rank[where[i]] * min(n, pieces[mine[i]]) // n)
+                        asked = [(int(g), lists[groups == g].tobytes()) for g in np.unique(groups) if g != group] if pieces[mine[i]] > 1 else []
+                        out.append((*r, group, int(where[i]), codes[i].tobytes(), float(left[i]), float(own[i]), lists[groups == group].tobytes(), asked))
                 yield _table(schema, out)
 
-    return classes.mapInArrow(run, _PLACED)
+    return classes.select("label", "dim", "key", "many", "raw", "pieces").mapInArrow(run, _INDEXED)
+
+
+def _place(index: DataFrame) -> DataFrame:
+    """Each class in the group of its list, where it is stored and searches, and in every other group with a list that it searches."""
+    rows = ("label", "dim", "key", "many", "raw")
+    stored = index.select(*rows, "group", F.lit(True).alias("stored"), "lists", "list", "code", "left_over", "own")
+    asked = index.select(*rows, F.explode("probes").alias("p"))
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    return stored.unionByName(asked.select(*rows, "p.group", F.lit(False).alias("stored"), "p.lists", none("int", "list"), none("binary", "code"), none("double", "left_over"), none("double", "own")))
+
+
+def _near(index: Index | None, x: np.ndarray, probed: list[np.ndarray], base: dict[str, np.ndarray], radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, stored) that table look-ups cannot rule out."""
+    if index is None:
+        return np.nonzero(np.ones((len(x), len(base["list"])), bool))
+    tables = index.tables(x)
+    limit = (radius + base["left"] + SLACK) ** 2 + SLACK
+    flat = np.concatenate(probed)
+    of = np.repeat(np.arange(len(x)), [len(p) for p in probed])
+    found = []
+    for lst in np.unique(flat):
+        q, y = of[flat == lst], np.flatnonzero(base["list"] == lst)
+        if not len(y):
+            continue
+        far = _squared(x[q], index.centres[lst][None, :]).astype(np.float32) + base["own"][y].astype(np.float32)[None, :]
+        for m in range(tables.shape[1]):
+            far -= tables[q, m][:, base["codes"][y, m]]
+        i, j = np.nonzero(far <= limit[y].astype(np.float32))
+        found.append((q[i], y[j]))
+    return tuple(np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
 
 
 def _search(placed: DataFrame, shared, cosine: float, radius: float) -> DataFrame:
@@ -183,51 +242,57 @@ def _search(placed: DataFrame, shared, cosine: float, radius: float) -> DataFram
     ddl = "key binary, n long, other binary"
     schema = arrow_schema(ddl)
 
-    def scan(base: list[tuple], queries: list[tuple], dim: int, centre: int) -> list[tuple]:
+    def scan(rows: list[tuple], dim: int) -> list[tuple]:
         index = shared.value.get(dim)
-        y = _unit([r[1] for r in base], dim)
-        many = np.array([r[2] for r in base], np.int64)
-        _, names = np.unique(np.array([r[0].hex() for r in base] + [r[0].hex() for r in queries]), return_inverse=True)
+        stored, queries = [r for r in rows if r[0]], [r[2:] for r in rows if r[1]]
+        stored = [r[2:] for r in stored]
+        if not stored or not queries:
+            return []
+        y = _unit([r[1] for r in stored], dim)
+        many = np.array([r[2] for r in stored], np.int64)
+        _, names = np.unique(np.array([r[0].hex() for r in stored] + [r[0].hex() for r in queries]), return_inverse=True)
+        base = {"list": np.zeros(len(stored), np.int64)}
         if index is not None:
-            codes = np.frombuffer(b"".join(r[3] for r in base), np.uint8).reshape(len(base), -1)
-            limit = ((radius + np.array([r[4] for r in base]) + SLACK) ** 2 + SLACK).astype(np.float32)
+            base = {
+                "list": np.array([r[4] for r in stored]), "codes": np.frombuffer(b"".join(r[5] for r in stored), np.uint8).reshape(len(stored), -1),
+                "left": np.array([r[6] for r in stored]), "own": np.array([r[7] for r in stored]),
+            }
         out, pairs = [], []
-        step = max(1, BLOCK // len(base))
+        step = max(1, BLOCK // max(len(stored), SUBSPACES * CODES))
         for at in range(0, len(queries), step):
             part = queries[at : at + step]
             x = _unit([r[1] for r in part], dim)
-            i, j = np.nonzero(index.distances(x, centre, codes) <= limit) if index is not None else np.nonzero(np.ones((len(part), len(base)), bool))
+            i, j = _near(index, x, [np.frombuffer(r[3] or b"", np.uint16) for r in part], base, radius)
             keep = np.zeros(len(i), bool)
-            for k in range(0, len(i), BLOCK // max(1, dim)):
-                s = slice(k, k + BLOCK // max(1, dim))
+            for k in range(0, len(i), max(1, BLOCK // dim)):
+                s = slice(k, k + max(1, BLOCK // dim))
                 keep[s] = np.einsum("ij,ij->i", x[i[s]], y[j[s]]) >= cosine
             i, j = i[keep], j[keep]
-            other = names[len(base) + at + i] != names[j]
+            other = names[len(stored) + at + i] != names[j]
             i, j = i[other], j[other]
             n = np.bincount(i, weights=many[j], minlength=len(part)).astype(np.int64)
             out += [(part[k][0], int(n[k]), None) for k in np.flatnonzero(n)]
             if len(i):
                 # What hangs together is kept as stars between steps.
-                pairs.append(_stars(names[len(base) + at + i], names[j]))
+                pairs.append(_stars(names[len(stored) + at + i], names[j]))
         if pairs:
-            by_name = {int(n): k for n, k in zip(names, [r[0] for r in base] + [r[0] for r in queries], strict=True)}
+            by_name = {int(n): k for n, k in zip(names, [r[0] for r in stored] + [r[0] for r in queries], strict=True)}
             a, b = _stars(*np.concatenate(pairs, axis=1))
             out += [(by_name[p], None, by_name[q]) for p, q in zip(a.tolist(), b.tolist(), strict=True)]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, base, queries, of = None, [], [], None
+        task, held, of = None, [], 0
         for batch in batches:
             out: list[tuple] = []
-            for t, dim, lst, query, *row in zip(*(batch.column(c).to_pylist() for c in ("task", "dim", "list", "query", "key", "raw", "many", "code", "left_over")), strict=True):
+            for t, dim, *row in zip(*(batch.column(c).to_pylist() for c in ("task", "dim", "stands", "asks", "key", "raw", "many", "lists", "list", "code", "left_over", "own")), strict=True):
                 if t != task:
-                    if base and queries:
-                        out += scan(base, queries, *of)
-                    task, base, queries, of = t, [], [], (dim, lst)
-                (queries if query else base).append(tuple(row))
+                    out += scan(held, of)
+                    task, held, of = t, [], dim
+                held.append(tuple(row))
             if out:
                 yield _table(schema, out)
-        if base and queries and (out := scan(base, queries, *of)):
+        if out := scan(held, of):
             yield _table(schema, out)
 
     return placed.repartition(F.col("task")).sortWithinPartitions("task").mapInArrow(run, ddl)
@@ -251,35 +316,44 @@ def _stars(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([values[far], values[root[far]]])
 
 
-def _pieces(placed: DataFrame) -> DataFrame:
-    """Deals each list's stored and searching classes to tasks of bounded size, each pair of pieces once."""
-    sizes = placed.groupBy("label", "dim", "list").agg(F.sum(F.when(F.col("query"), 0).otherwise(1)).alias("b"), F.sum(F.when(F.col("query"), 1).otherwise(0)).alias("q"))
-    sizes = sizes.where("b > 0").select("label", "dim", "list", F.ceil(F.col("b") / BASES).cast("int").alias("nb"), F.ceil(F.col("q") / QUERIES).cast("int").alias("nq"))
-    # As a table its size is known, so the planner broadcasts it if, and only if, it is small.
-    at = f"{shared_dir(placed.sparkSession).rstrip('/')}/lists-{uuid.uuid4().hex}"
-    sizes.write.parquet(at)
-    rows = placed.join(placed.sparkSession.read.parquet(at), ["label", "dim", "list"])
+def _pieces(placed: DataFrame, shelf: Shelf) -> DataFrame:
+    """Deals each group's stored and searching classes to tasks of bounded size, each pair of pieces once."""
+    of = ["label", "dim", "group"]
+    sizes = placed.groupBy(*of).agg(F.count(F.lit(1)).alias("n"), F.count_if("stored").alias("b")).where("b > 0")
+    sizes = shelf.put(sizes.select(*of, "n", F.ceil(F.col("b") / BASES).cast("int").alias("nb"), F.ceil(F.col("n") / QUERIES).cast("int").alias("nq")), "groups")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    rows = attach(placed, sizes, of, "n", total)
     h = F.xxhash64("key")
-    mine = F.when(F.col("query"), F.pmod(h, F.col("nq"))).otherwise(F.pmod(h, F.col("nb"))).cast("int")
-    spread = F.sequence(F.lit(0), F.when(F.col("query"), F.col("nb")).otherwise(F.col("nq")) - 1)
-    rows = rows.withColumn("mine", mine).withColumn("theirs", F.explode(spread))
-    i, j = F.when(F.col("query"), F.col("mine")).otherwise(F.col("theirs")), F.when(F.col("query"), F.col("theirs")).otherwise(F.col("mine"))
-    return rows.select(F.xxhash64("label", "dim", "list", i, j).alias("task"), "dim", "list", "query", "key", "raw", "many", "code", "left_over")
+    own_i, own_j = (F.pmod(h, F.col(n)).cast("int") for n in ("nq", "nb"))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    task = lambda i, j, stands, asks: F.struct(i.alias("i"), j.alias("j"), stands.alias("stands"), asks.alias("asks"))
+    # A stored class stands in its piece for all who ask, and asks in all pieces.
+    standing = F.transform(every("nq"), lambda i: task(i, own_j, F.lit(True), i == own_i))
+    asking = F.transform(every("nb"), lambda j: task(own_i, j, F.lit(False), F.lit(True)))
+    to = F.when(F.col("stored"), F.concat(standing, F.filter(asking, lambda t: t["j"] != own_j))).otherwise(asking)
+    rows = rows.withColumn("t", F.explode(to))
+    return rows.select(F.xxhash64(*of, "t.i", "t.j").alias("task"), "dim", "t.stands", "t.asks", "key", "raw", "many", "lists", "list", "code", "left_over", "own")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
     radius = float(np.sqrt(2 - 2 * cosine))
+    shelf = Shelf(vectors.sparkSession, "vectors")
     rows = cut(_classes(vectors))
     light = rows.where(F.col("key").isNotNull())
     classes = cut(light.groupBy("key").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("many"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("raw").alias("raw")))
-    shared = vectors.sparkSession.sparkContext.broadcast(fit(classes))  # bounded by LISTS, CODES and the dimensions
-    found = cut(_search(_pieces(_place(classes, shared, radius)), shared, cosine, radius))
+    shared = vectors.sparkSession.sparkContext.broadcast(fit(classes))  # bounded by MOST_LISTS, CODES and the sample's dimensions
+    labels = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
+    labels = cut(labels.withColumn("pieces", F.ceil(F.col("n") / WHOLE).cast("int")))
+    total = labels.agg(F.sum("n")).first()[0] or 0
+    index = shelf.put(_index(attach(classes, labels, ["label", "dim"], "n", total), shared, radius), "index")
+    found = cut(_search(_pieces(_place(index), shelf), shared, cosine, radius))
     counts = found.where(F.col("n").isNotNull()).groupBy("key").agg(F.sum("n").alias("n"))
     roots = components(found.where(F.col("other").isNotNull()).select(F.col("key").alias("a"), F.col("other").alias("b")))
-    labels = classes.select("key", "vec_id", "many").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = labels.groupBy("root").agg(F.min("vec_id").alias("component_id"))
-    full = labels.join(least, "root").join(counts, "key", "left").select("key", "component_id", (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("n_links"))
-    out = rows.select("vec_id", "key").join(full, "key", "left")
+    labels = shelf.put(classes.select("key", "vec_id", "many").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "labels")
+    least = labels.groupBy("root").agg(F.min("vec_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    full = attach(labels, least, ["root"], "size", max(1, labels.count())).join(counts, "key", "left")
+    full = shelf.put(full.select("key", "many", "component_id", (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("n_links")), "full")
+    out = attach(rows.select("vec_id", "key"), full, ["key"], "many", light.count(), "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))

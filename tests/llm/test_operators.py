@@ -386,6 +386,7 @@ def test_vectors(spark, monkeypatch):
     assert sorted(map(tuple, vectors.near_duplicates(frame).collect())) == want
     monkeypatch.setattr(vectors, "BASES", 16)
     monkeypatch.setattr(vectors, "QUERIES", 16)
+    monkeypatch.setattr(vectors, "WHOLE", 32)
     assert sorted(map(tuple, vectors.near_duplicates(frame).collect())) == want
     assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
