@@ -33,7 +33,7 @@ def validate(paths: list[str]) -> int:
         print(f"{'PASS' if row['ok'] else 'FAIL'} {row['path']}" + (f": {', '.join(row['violations'])}" if row["violations"] else ""))
     code = integrity.exit_code(found)
     if code == 1:
-        print(f"{found.where('NOT ok').count()} file(s) failed validation.", file=sys.stderr)
+        print(f"violations in {found.where('NOT ok').count()} of {found.count()} files", file=sys.stderr)
     return code
 
 

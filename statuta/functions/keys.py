@@ -11,12 +11,13 @@ from statuta import schema
 def article_path(abbrev: Column, number: Column, root: Column | str = "data", phase: Column | None = None) -> Column:
     """root/phase/abbrev/abbrev-article-number.md; null if abbreviation or number is null.
 
-    An absent phase is the default one.  Repeated slashes and ./ steps of the root are taken out.
+    An absent phase is the default one.  Repeated slashes and ./ steps of the root are taken out; an
+    empty root or a single dot adds nothing.
     """
     root = F.lit(root) if isinstance(root, str) else root
     root = F.regexp_replace(F.regexp_replace(root, r"/+(?:\./+)*", "/"), r"(?<=.)/$|^\./", "")
     phase = F.coalesce(phase, F.lit(schema.DEFAULT_PHASE)) if phase is not None else F.lit(schema.DEFAULT_PHASE)
-    path = F.concat_ws("/", root, phase, abbrev, F.concat(abbrev, F.lit("-article-"), number, F.lit(".md")))
+    path = F.concat_ws("/", F.when(~root.isin("", "."), root), phase, abbrev, F.concat(abbrev, F.lit("-article-"), number, F.lit(".md")))
     return F.when(abbrev.isNotNull() & number.isNotNull(), F.when(root == "/", F.substr(path, F.lit(2))).otherwise(path))
 
 

@@ -319,7 +319,10 @@ def section_rollup(spark, sf_dir):
     return found.select(*(F.coalesce(c, F.lit(-1)).alias(c) for c in ("hen", "shou", "setsu")), "level", "n")
 
 
-@query(f"SELECT article_id, CASE article_id WHEN 's-3' THEN '6' WHEN 's-4' THEN '6-2' WHEN 's-5' THEN '7' WHEN 's-6' THEN '' ELSE '1' END AS chapter FROM {S.SECTIONS.sql()}")
+@query(
+    f"SELECT article_id, CASE WHEN shou_name IS NULL THEN '' ELSE array_to_string(list_transform(list_concat([regexp_extract(shou_name, '^第({_K}+)章', 1)], regexp_extract_all(regexp_extract(shou_name, '^第{_K}+章((?:の{_K}+)*)', 1), 'の({_K}+)', 1)), "
+    f"lambda x: CAST({_kanji_sql('x')} AS VARCHAR)), '-') END AS chapter FROM {S.SECTIONS.sql()}"
+)
 def section_order(spark, sf_dir):
     return S.SECTIONS.frame(spark).withColumn("k", numerals.section_key(F.col("shou_name"), "shou")).select("article_id", F.concat_ws("-", F.col("k").cast("array<string>")).alias("chapter"))
 
@@ -362,25 +365,50 @@ def rendered_articles(spark, sf_dir):
     return files.render(files.parse(S.DOCUMENTS.frame(spark)).where("corrupt IS NULL"))
 
 
-@query("SELECT doc_id, CAST(line - 1 AS INTEGER) AS line, CAST(len(string_split(regexp_replace(content, '^\\||\\|$', '', 'g'), '|')) AS BIGINT) AS cells FROM (SELECT doc_id, unnest(string_split(text, E'\\n')) AS content, generate_subscripts(string_split(text, E'\\n'), 1) AS line FROM documents) WHERE regexp_matches(content, '^\\|.*\\|$') AND NOT regexp_matches(content, '^\\|[\\s:|-]+\\|$')")
+@query(
+    f"SELECT id, CAST(line - 1 AS INTEGER) AS line, CAST(place - 1 AS INTEGER) AS place, trim(cell) AS cell FROM (SELECT id, line, unnest(cells) AS cell, generate_subscripts(cells, 1) AS place FROM "
+    f"(SELECT id, line, string_split(substr(content, 2, length(content) - 2), '|') AS cells FROM (SELECT id, unnest(string_split(text, E'\\n')) AS content, generate_subscripts(string_split(text, E'\\n'), 1) AS line FROM {S.TABLES.sql()}) "
+    f"WHERE content LIKE '|%|' AND length(content) > 1 AND translate(content, ' :|-', '') <> ''))"
+)
 def table_cells(spark, sf_dir):
-    return structure.table_cells(table(spark, sf_dir, "documents"), "text", "doc_id").groupBy("doc_id", "line").agg(F.count(F.lit(1)).alias("cells"))
+    return structure.table_cells(S.TABLES.frame(spark), "text", "id").withColumnRenamed("column", "place")
+
+
+def _charset_class(charset: str) -> str:
+    """What a charset can hold, as the inside of a character class; control characters are left out."""
+    fits = [c for c in range(32, 0x10000) if not 0xD800 <= c < 0xE000 and safety._fits(chr(c), charset)]
+    runs: list[list[int]] = []
+    for c in fits:
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs)
 
 
-@query(f"SELECT id, CASE id WHEN 14 THEN '—塡' WHEN 10 THEN NULL ELSE '' END AS unsafe FROM {S.QUESTIONS.sql()}")
+_UNSAFE = rf"[^\x00-\x1f{_charset_class('cp932')}]"
+
+
+@query(f"SELECT id, array_to_string(list_sort(list_distinct(regexp_extract_all(question, '{_UNSAFE}'))), '') AS unsafe FROM {S.QUESTIONS.sql()}")
 def encoding_safety(spark, sf_dir):
     return safety.check_encoding(S.QUESTIONS.frame(spark), "question").select("id", "unsafe")
 
 
-@query()
+@query(f"SELECT NOT regexp_matches(text, '{_UNSAFE}') AS safe, count(*) AS n FROM documents GROUP BY ALL")
 def encoding_safety_documents(spark, sf_dir):
     return safety.check_encoding(table(spark, sf_dir, "documents"), "text").groupBy("safe").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"SELECT type, {_MODALITY_SQL} AS modality, count(*) AS n FROM (SELECT s.t AS type, s.x AS text FROM ({_SPLIT_SQL})) GROUP BY ALL")
+@query(f"SELECT 'phase' || number || '-mihon' AS phase, regexp_replace(article_id, '-art-.*$', '') AS law_abbrev, {_MODALITY_SQL} AS modality, count(*) AS n FROM (SELECT article_id, number, s.t AS type, s.x AS text FROM ({_SPLIT_SQL})) GROUP BY ALL")
 def modality_distribution(spark, sf_dir):
-    rows = structure.segments(S.PARAGRAPHS.frame(spark)).withColumns({"phase": F.lit("p"), "law_abbrev": F.col("type")})
-    return reports.modality_by_law(rows).select(F.col("law_abbrev").alias("type"), "modality", "n")
+    rows = structure.segments(S.PARAGRAPHS.frame(spark)).withColumns({"phase": F.concat(F.lit("phase"), "number", F.lit("-mihon")), "law_abbrev": F.regexp_replace("article_id", "-art-.*$", "")})
+    return reports.modality_by_law(rows).select("phase", "law_abbrev", "modality", "n")
+
+
+@query(f"SELECT tier, article_id, count(*) AS n FROM (SELECT 'old' AS tier, article_id FROM {S.OLD.sql()} UNION ALL SELECT 'old', article_id FROM {S.NEW.sql()} UNION ALL SELECT 'new', article_id FROM {S.NEW.sql()}) GROUP BY ALL HAVING count(*) > 1")
+def repeated_ids(spark, sf_dir):
+    of = lambda sample, tier: sample.frame(spark).select(F.lit(tier).alias("tier"), "article_id")
+    return integrity.repeated_ids(of(S.OLD, "old").unionByName(of(S.NEW, "old")).unionByName(of(S.NEW, "new")))
 
 
 @query(f"SELECT conv_id, turn, CASE WHEN NOT {_PII_SQL.format(t='text')} THEN text END AS raw, CASE WHEN {_PII_SQL.format(t='text')} THEN {_anon_sql('text')} END AS anonymized FROM conversations")
@@ -389,10 +417,14 @@ def question_stream(spark, sf_dir):
     if not top:
         import tempfile
 
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="statuta-")
     at = f"{top.rstrip('/')}/questions-{uuid.uuid4().hex}"
     rows = stream.source(spark, sf_dir, "conversations.parquet").select("conv_id", "turn", F.col("text").alias("question"))
     stream.run_available(stream.anonymized(rows), f"{at}/log", f"{at}/state")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.parquet(f"{at}/log").select("conv_id", "turn", "raw", "anonymized")
 
 
@@ -417,7 +449,7 @@ def segment_markers(spark, sf_dir):
     return rows.select("s.id", structure.marked(F.col("s")).alias("marked"))
 
 
-@query(f"SELECT id, CASE id WHEN 1 THEN '区域' WHEN 3 THEN '題' END AS caption, len(string_split(article_number, '-')) - 1 <= CASE WHEN last_verified = '2026-06-01' THEN 1 ELSE 0 END AS covered FROM {S.BODIES.sql()}")
+@query(f"SELECT id, nullif(regexp_extract(regexp_replace(body, '<!-- segment: [^>]*-->\\n?', '', 'g'), '(?m)^# .*第[0-9-]+条\\(（(.*)）\\)', 1), '') AS caption, len(string_split(article_number, '-')) - 1 <= CASE WHEN last_verified = '2026-06-01' THEN 1 ELSE 0 END AS covered FROM {S.BODIES.sql()}")
 def captions_and_coverage(spark, sf_dir):
     c = F.col
     return S.BODIES.frame(spark).select("id", structure.caption(c("body")).alias("caption"), structure.covered(c("article_number"), c("last_verified")).alias("covered"))

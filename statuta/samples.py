@@ -89,6 +89,10 @@ BODIES = Sample("id int, body string, article_number string, last_verified strin
     (3, "# 見本法 第4条(（<!-- segment: simple id: x -->\n題）)\n", "4-5", "2026-06-01"), (4, "", "6-7-8", "2026-06-01"),
 ])
 
+TABLES = Sample("id int, text string", [
+    (1, "前\n| 甲 | 乙 |\n|:--|--:|\n| 一 | 二 |\n| 三 |\n後"), (2, "表なし"), (3, "| x || y |\n"), (4, None), (5, "|a|"),
+])
+
 SECTIONS = Sample("article_id string, hen int, shou int, setsu int, shou_name string", [
     ("s-1", 1, 1, 1, "第一章　総則"), ("s-2", 1, 1, 2, "第一章　総則"), ("s-3", 1, 6, None, "第六章　雑則"), ("s-4", 1, 62, None, "第六章の二　特例"), ("s-5", 2, 7, None, "第七章　罰則"), ("s-6", None, None, None, None),
 ])

@@ -25,6 +25,9 @@ def counts(stream: DataFrame, width: str = "1 hour", late: str = "10 minutes", t
 
 
 def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A stream of the Parquet files called name in a folder, with the files' own schema."""
+    """A stream of the Parquet table called name in a folder, one file or a folder of files, with its own schema."""
     known = spark.read.parquet(f"{folder}/{name}").schema
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return spark.readStream.schema(known).parquet(f"{folder}/{name}")
     return spark.readStream.schema(known).option("pathGlobFilter", name).parquet(folder)

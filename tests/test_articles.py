@@ -127,7 +127,7 @@ def test_command_line(spark, parsed, tmp_path, capsys):
     at = f"{tmp_path}/t1/phase9-mihon/mihon-hou/mihon-hou-article"
     assert cli.main(["validate"]) == 2 and cli.main(["validate", f"{at}-1.md"]) == 0 and cli.main(["validate", f"{at}-1.md", f"{at}-4.md"]) == 1
     said = capsys.readouterr()
-    assert "PASS" in said.out and "V2, V5, V8" in said.out and "1 file(s) failed" in said.err
+    assert "PASS" in said.out and "V2, V5, V8" in said.out and "violations in 1 of 2 files" in said.err
     assert cli.main(["check-encoding", "--path", str(tmp_path)]) == 0 and "cp932-safe" in capsys.readouterr().out
     (tmp_path / "x.md").write_text("a\u2014b", encoding="utf-8")
     assert cli.main(["check-encoding", "--path", str(tmp_path)]) == 1 and "FAIL" in capsys.readouterr().err

@@ -23,3 +23,10 @@ def test_windows_close_behind_the_watermark(spark, tmp_path):
         questions.run_available(questions.counts(stream), out, state)
     got = {(r["start"].hour, r["event_type"]): r["n"] for r in spark.read.parquet(out).collect()}
     assert got == {(0, "a"): 2, (2, "b"): 1}  # what came too late is not counted
+
+
+def test_tables_that_are_folders(spark, tmp_path):
+    spark.read.parquet(f"{SF}/conversations.parquet").repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    rows = questions.source(spark, str(tmp_path), "conversations.parquet").selectExpr("conv_id", "turn", "text AS question")
+    questions.run_available(questions.anonymized(rows), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == spark.read.parquet(f"{SF}/conversations.parquet").count()
