@@ -37,7 +37,7 @@ from hashlib import sha256
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import map_slices, texts
+from statuta.llm.common import CACHES, map_slices, texts
 
 CACHED_WORDS = 100_000
 CACHED_ARCS = 300_000
@@ -181,7 +181,8 @@ class Encoder:
         if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
             raise ValueError("special tokens must be matched in the raw text, as they are")
         self.automaton = Automaton(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"] or "")
-        library = Tokenizer.from_str(source)
+        # The library is asked for its normaliser and splitter alone.
+        library = Tokenizer.from_str(json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}))
         self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.split_latin = re.compile(_latin_1(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])).findall
         self.special = {t["content"]: t["id"] for t in added}
@@ -190,6 +191,13 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self.foreign: dict[str, bytes] = {}
 
+    def rest(self) -> None:
+        """Drops what was kept for speed."""
+        self.cache.clear()
+        self.foreign.clear()
+        self.automaton.table.clear()
+        self.automaton._forget()
+
     def _latin_word(self, word: str) -> bytes:
         inner = self.automaton.inner
         return self._kept(self.cache, word, "".join([inner[b] for b in word.encode()]))
@@ -233,7 +241,12 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(source: str) -> Encoder:
-    return Encoder(source)
+    _built.append(made := Encoder(source))
+    return made
+
+
+_built: list[Encoder] = []
+CACHES.append(lambda: [e.rest() for e in _built])
 
 
 def default_path() -> str:

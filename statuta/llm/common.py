@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_ROWS = 512
-SLICE_BYTES = 4 << 20
+SLICE_ROWS = 256
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,17 +104,17 @@ def sieve(digests: DataFrame) -> Callable[[Column], Column]:
     bits[found["at"].to_numpy()] = found["bits"].to_numpy()
     shared = digests.sparkSession.sparkContext.broadcast(bits.tobytes())
 
-    @F.pandas_udf("boolean")
-    def passes(digest: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def passes(digest: pa.Array) -> pa.Array:
         words = np.frombuffer(shared.value, np.uint64)
-        x = digest.to_numpy(np.int64).view(np.uint64)
+        x = digest.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
         out = np.ones(len(x), bool)
         for shift in _SHIFTS:
             at = (x >> np.uint64(shift)) & np.uint64(SIEVE_BITS - 1)
             out &= (words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return pd.Series(out)
+        return pa.array(out)
 
-    return passes
+    return passes.asNondeterministic()  # so that it is not evaluated twice
 
 
 _SHIFTS = (0, 19, 39)
@@ -155,9 +156,17 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = end
 
 
+#: What tasks keep between batches and can build again.
+CACHES: list[Callable[[], None]] = []
+
+
 def give_back() -> None:
-    """Returns what a task's batches have used to the system, as workers live on between tasks."""
+    """At a task's end drops its caches and returns memory to the system, as workers live on for tasks of other kinds."""
+    for clear in CACHES:
+        clear()
     pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries can trim
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

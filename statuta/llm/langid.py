@@ -29,7 +29,7 @@ N = 3
 UNKNOWN = "und"
 SEED = 20_240_601
 DENSE = 1 << 21
-COLUMNS = 4096
+COLUMNS = 2048
 #: Languages that are learned, the most frequent first.
 LANGUAGES = 1000
 #: Of the expected cosine; a text with less is in no learned language.

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import HOT, Shelf, arrow_schema, attach, cut, give_back, map_slices, sieve, slices, texts
+from statuta.llm.common import CACHES, HOT, Shelf, arrow_schema, attach, cut, give_back, map_slices, sieve, slices, texts
 from statuta.llm.components import components
 
 WORDS = 2
@@ -68,6 +68,7 @@ _RNG = np.random.default_rng(8)
 _MULTIPLIERS = _RNG.integers(0, 1 << 63, SKETCH_BITS, dtype=np.uint64) * _U(2) + _U(1)
 _MASKS = _RNG.integers(0, 1 << 63, SKETCH_BITS, dtype=np.uint64)
 _words: dict[bytes, int] = {}
+CACHES.append(_words.clear)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
