@@ -9,6 +9,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 from conftest import SF, rows_of
+from pyspark.sql import functions as F
 
 from statuta.llm import bpe, components, fingerprints, langid, mixing, neardup, pii, queries, tokencount, toolcalls, toxicity, vectors
 
@@ -438,3 +439,61 @@ def test_bpe_equals_the_library_whatever_the_version_of_unicode():
     for text, want in zip(every, t.encode_batch(every, add_special_tokens=False), strict=True):
         code = e.encode(text)
         assert np.frombuffer(code, "<u4").tolist() == want.ids and e.decode(code) == t.decode(want.ids, skip_special_tokens=False), text
+
+
+# Rows that once ended a job, were lost, or took too much memory --------------------------------
+
+
+def test_slices_go_by_the_rows_own_bytes():
+    import pyarrow as pa
+
+    from statuta.llm import common
+
+    batch = pa.record_batch({"text": ["x"] * 9990 + ["y" * (4 << 20)] * 10, "n": list(range(10_000)), "l": [[1, 2]] * 10_000, "none": [None] * 10_000})
+    parts = list(common.slices(batch))
+    assert sum(p.num_rows for p in parts) == 10_000 and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(p.num_rows <= common.SLICE_ROWS and (p.num_rows == 1 or sum(map(len, p.column("text").to_pylist())) <= common.SLICE_BYTES) for p in parts)
+
+
+def test_bodies_that_no_json_can_say():
+    for body in ('{"x":NaN}', '{"x":1e999}', "[" * 100_000, '"\\ud800"', None, "", "{"):
+        assert toolcalls.checked(body, "f", "a", {"f": {}}) == (False, '{"arguments":null,"id":"a","name":"f","type":"call"}')
+    assert toolcalls.checked("9" * 401, "f", "a", {"f": {"type": "integer"}})[0]
+
+
+def test_long_runs_of_blanks():
+    e = tokencount.encoder(open(tokencount.default_path(), encoding="utf-8").read())
+    for text in ("a" + " " * 5000 + "b", "\n" * 6000 + "é x", "x \t" + " " * 4096, " " * 4097 + "\n" + "y" * 10, "　" * 5000 + "12"):
+        assert e.encode(text) == e.encoding.encode_ordinary(text)
+    assert (spans := e.spans("a" + " " * 1_000_000 + "b"))[-1].tolist() == [1_000_000, 1_000_002] and (spans[1:, 0] == spans[:-1, 1]).all()
+
+
+def test_one_long_chain_among_short_ones():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    chains = [rng.normal(size=20) for _ in range(255)] + [rng.normal(size=100_000)]
+    tracemalloc.start()
+    got, _ = toxicity.marginals(chains, rng.normal(size=(2, 2)))
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20 and [len(c) for c in got] == [len(c) for c in chains]
+    tracemalloc.stop()
+
+
+def test_deduplicated_loses_no_text(spark):
+    rows = [(7, lorem(1)), (7, lorem(2)), (None, lorem(3)), (None, lorem(3)), (None, lorem(2)), (8, lorem(1)), (9, None), (9, None), (6, lorem(4)), (6, lorem(4))]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, mark string, `row` string")
+    got = neardup.deduplicated(frame)
+    assert got.columns == frame.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted([(7, lorem(1)), (7, lorem(2)), (None, lorem(3)), (9, None), (9, None), (6, lorem(4))], key=str)
+
+
+def test_language_stage_decides(spark, real):
+    known = real.where("lang IS NOT NULL").limit(150).collect()
+    junk = [(10_000 + k, f"{lorem(k, 1)} " * 400, "en", "s", 0) for k in range(3)] + [(20_000, "avec", "fr", "s", 4)]
+    frame = spark.createDataFrame([tuple(r) for r in known] * 3 + junk, DDL)
+    kept = {r["doc_id"] for r in langid.accepted(frame).collect()}
+    assert not kept & {10_000, 10_001, 10_002} and 20_000 in kept and len(kept) > 140
+    nothing = frame.withColumn("lang", F.lit(None).cast("string"))
+    assert langid.accepted(nothing).count() == frame.count()
+    filled = langid.accepted(frame.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang")))).collect()
+    assert all(r["lang"] for r in filled)
