@@ -23,7 +23,12 @@ def test_stages(spark, tmp_path):
         seen[name] = docs.collect()
     kept = {r["doc_id"] for r in seen["minhash"]}
     assert kept == {d for d, _, c in classes_by_brute_force([(r["doc_id"], r["text"]) for r in seen["language_id"]], 5) if d == c} and len(seen["minhash"]) == len(kept)
-    assert len(seen["language_id"]) == len(seen["documents"]) and not any(pii.spans(r["text"]) for r in seen["pii"]) and {r["doc_id"] for r in seen["pii"]} == kept
+    gone = {r["doc_id"]: r["text"] for r in seen["documents"]}
+    for r in seen["language_id"]:
+        gone.pop(r["doc_id"])
+    # What goes has no letter, or is a few words again and again.
+    assert all(not any(map(str.isalpha, t or "")) or len(set(t.split())) < len(t.split()) / 4 for t in gone.values()) and len(gone) < len(seen["documents"]) / 20
+    assert not any(pii.spans(r["text"]) for r in seen["pii"]) and {r["doc_id"] for r in seen["pii"]} == kept
     assert {r["doc_id"] for r in seen["mixing"]} <= kept and max(collections.Counter(r["doc_id"] for r in seen["mixing"]).values()) <= 2
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, seen["bpe"])) == sorted(map(tuple, bpe.report(spark.read.parquet(str(tmp_path / "mixing"))).collect()))
 
