@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta import samples as S
+from statuta import schema
 from statuta.functions import anonymize as A
 from statuta.functions import clauses, domains, keys, numerals
 from statuta.operators import citations, details, integrity, safety, structure, versions
@@ -338,33 +339,128 @@ def frontmatter_flat(spark, sf_dir):
     return S.DOCUMENTS.frame(spark).select("path", *(files.flat_field(F.col("value"), k).alias(k) for k in names))
 
 
-@query()
+# The oracles of whole articles read the front matter line by line, which the sample's files allow.
+def _field_sql(k: str) -> str:
+    return f"nullif(regexp_replace(regexp_extract(front, '(?m)^{k}: (.+)$', 1), '^[''\"](.*)[''\"]$', '\\1'), '')"
+
+
+_PATH = r"([^/]+)/(?:(phase[0-9]+-[a-z]+)/)?([a-z0-9-]+)/([a-z0-9-]+)-article-([0-9-]+)\.md$"
+_FIELDS = ("law_id", "article_number", "article_id", "version_date", "source_url", "last_verified", "translation_status", "machine_translated")
+_ARTICLES_SQL = (
+    "(SELECT path, value, corrupt, body, front, tier, law_abbrev, tag, coalesce(phase, tag) AS phase, numbers, len(numbers) AS n, " + ", ".join(f"{_field_sql(k)} AS {k}" for k in _FIELDS)
+    + f" FROM (SELECT *, nullif(regexp_extract(path, '{_PATH}', 1), '') AS tier, nullif(regexp_extract(path, '{_PATH}', 2), '') AS phase, nullif(regexp_extract(path, '{_PATH}', 3), '') AS law_abbrev, "
+    "nullif(regexp_extract(front, '(?m)^tags:\\n- (.+)$', 1), '') AS tag, regexp_extract_all(front, '(?m)^- number: (.+)$', 1) AS numbers FROM (SELECT *, CASE WHEN corrupt IS NULL THEN split_part(value, E'\\n---\\n', 1) END AS front, "
+    "CASE WHEN corrupt IS NULL THEN substr(value, strpos(value, E'\\n---\\n') + 5) END AS body FROM (SELECT *, CASE WHEN NOT starts_with(value, E'---\\n') THEN 'no front matter' "
+    f"WHEN NOT contains(value, E'\\n---\\n') THEN 'front matter does not end' END AS corrupt FROM {S.DOCUMENTS.sql()}))))"
+)
+
+
+def _names(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+_RULES = {
+    "V1": f"len(list_filter([{_names(schema.REQUIRED_KEYS)}], lambda k: NOT regexp_matches(front, '(?m)^' || k || ':'))) > 0",
+    "V2": "article_id IS DISTINCT FROM law_abbrev || '-art-' || article_number",
+    "V3": "NOT coalesce(ends_with(path, '/' || law_abbrev || '/' || law_abbrev || '-article-' || article_number || '.md'), false)",
+    "V4": f"source_url IS DISTINCT FROM '{schema.SOURCE_BASE}' || law_id",
+    "V5": r"NOT coalesce(regexp_matches(law_id, '^\d{3}(AC\d{10}|CO\d{10}|M\d{11}|CONSTITUTION)$'), false)",
+    "V6": "TRY_CAST(version_date AS DATE) IS NULL OR TRY_CAST(last_verified AS DATE) IS NULL",
+    "V7": "array_to_string(numbers, ',') <> array_to_string(range(1, n + 1), ',')",
+    "V8": "len(regexp_extract_all(body, '(?m)^### ')) <> n",
+    "V9": f"coalesce(translation_status NOT IN ({_names(schema.TRANSLATION_STATUS)}), true)",
+    "V10": f"len(list_filter(regexp_extract_all(front, '(?m)^    type: (.+)$', 1), lambda x: x NOT IN ({_names(schema.SEGMENT_TYPES)}))) + len(list_filter(regexp_extract_all(front, '(?m)^    modality: (.+)$', 1), lambda x: x NOT IN ({_names(schema.MODALITIES)}))) > 0",
+    "V11": "phase IS DISTINCT FROM tag",
+    "V12": "len(list_filter(string_split(front, E'\\n- number: ')[2:], lambda p: contains(p, E'\\n  - id: ') AND (contains(p, 'type: hashira') <> contains(p, 'has_items: true') OR contains(p, 'type: tadashi') <> contains(p, 'has_proviso: true')))) > 0",
+}
+_FOUND_SQL = (
+    "(SELECT *, CASE WHEN corrupt IS NOT NULL THEN ['V0'] ELSE list_filter([" + ", ".join(f"CASE WHEN {bad} THEN '{code}' END" for code, bad in _RULES.items())
+    + f"], lambda x: x IS NOT NULL) END AS found FROM {_ARTICLES_SQL})"
+)
+
+
+@query(
+    "SELECT path, tier, phase, law_abbrev, article_number, CASE WHEN corrupt IS NULL THEN CAST(n AS INTEGER) END AS n_paragraphs, nullif(regexp_extract(front, '(?m)^  shou_name_ja: (.+)$', 1), '') AS shou_name_ja, "
+    f"machine_translated = 'true' AS machine_translated, corrupt FROM {_ARTICLES_SQL}"
+)
 def frontmatter_parse(spark, sf_dir):
     return files.parse(S.DOCUMENTS.frame(spark)).select("path", "tier", "phase", "law_abbrev", "article_number", F.size("paragraphs").alias("n_paragraphs"), "parent_section.shou_name_ja", "machine_translated", "corrupt")
 
 
-@query()
+@query(f"SELECT path, array_to_string(found, '|') AS violations, len(found) = 0 AS ok FROM {_FOUND_SQL}")
 def validation_report(spark, sf_dir):
     return integrity.validate(files.parse(S.DOCUMENTS.frame(spark))).select("path", joined("violations").alias("violations"), "ok")
 
 
-@query()
+@query(f"SELECT rule, count(*) AS n FROM (SELECT unnest(CASE WHEN len(found) = 0 THEN ['OK'] ELSE found END) AS rule FROM {_FOUND_SQL}) GROUP BY rule")
 def quality_report(spark, sf_dir):
     return reports.quality(files.parse(S.DOCUMENTS.frame(spark)))
 
 
-@query()
+@query(
+    f"SELECT article_id, number, heading, text, CASE WHEN regexp_matches(heading, '^第{_K}+条') THEN array_to_string(list_transform(list_concat([regexp_extract(heading, '^第({_K}+)条', 1)], "
+    f"regexp_extract_all(regexp_extract(heading, '^第{_K}+条((?:の{_K}+)*)', 1), 'の({_K}+)', 1)), lambda x: CAST({_kanji_sql('x')} AS VARCHAR)), '-') END AS named, "
+    "len(string_split(article_number, '-')) - 1 <= CASE WHEN last_verified = '2026-06-01' THEN 1 ELSE 0 END AS covered FROM (SELECT article_id, article_number, last_verified, CAST(k - 1 AS INTEGER) AS number, "
+    "regexp_extract(part, '^[^\\n]*') AS heading, trim(regexp_replace(regexp_replace(part, '^[^\\n]*\\n?', ''), '<!-- segment: [^>]*-->\\n?', '', 'g'), E'\\n ') AS text FROM "
+    f"(SELECT *, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM (SELECT *, string_split_regex(body, '(?m)^### ') AS parts FROM {_ARTICLES_SQL})) WHERE k > 1)"
+)
 def body_paragraphs(spark, sf_dir):
     rows = structure.paragraphs(files.parse(S.DOCUMENTS.frame(spark)))
     covered = structure.covered(F.col("article_number"), F.col("last_verified"))
     return rows.select("article_id", "number", "heading", "text", F.col("named.article_number").alias("named"), covered.alias("covered"))
 
 
-@query()
+@query(f"SELECT tier || '/' || phase || '/' || law_abbrev || '/' || law_abbrev || '-article-' || article_number || '.md' AS path, value FROM {_ARTICLES_SQL} WHERE corrupt IS NULL")
 def rendered_articles(spark, sf_dir):
     return files.render(files.parse(S.DOCUMENTS.frame(spark)).where("corrupt IS NULL"))
 
 
+def _scratch(spark, name: str) -> str:
+    """A new folder that the driver and all executors share; it goes with the driver's JVM."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not top:
+        import tempfile
+
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        top = tempfile.mkdtemp(prefix="statuta-")
+    at = f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return at
+
+
+def _sample_tree(spark) -> str:
+    """The sample's files, written as files."""
+    at = _scratch(spark, "articles")
+    for path, value in S.DOCUMENTS.rows:
+        to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.replace("file:/x", at))
+        out = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(to)
+        out.write(value.encode())
+        out.close()
+    return at
+
+
+_BELOW = r"(t1/.*)$"
+
+
+@query(f"SELECT regexp_extract(path, '{_BELOW}', 1) AS path, array_to_string(found, '|') AS violations, len(found) = 0 AS ok FROM {_FOUND_SQL}")
+def article_files(spark, sf_dir):
+    found = integrity.validate(files.read_articles(spark, _sample_tree(spark)))
+    return found.select(F.regexp_extract("path", _BELOW, 1).alias("path"), joined("violations").alias("violations"), "ok")
+
+
+@query(
+    "SELECT law_abbrev, min(law_id) AS law_id, min(phase) AS phase, count(*) AS n_articles, min(version_date) AS version_date, max(last_verified) AS last_verified "
+    f"FROM {_FOUND_SQL} WHERE len(found) = 0 GROUP BY law_abbrev"
+)
+def article_files_manifest(spark, sf_dir):
+    articles = files.read_articles(spark, _sample_tree(spark))
+    return integrity.guarded_manifest(articles.where(F.size(integrity.violations()) == 0))
+
+
 @query(
     f"SELECT id, CAST(line - 1 AS INTEGER) AS line, CAST(place - 1 AS INTEGER) AS place, trim(cell) AS cell FROM (SELECT id, line, unnest(cells) AS cell, generate_subscripts(cells, 1) AS place FROM "
     f"(SELECT id, line, string_split(substr(content, 2, length(content) - 2), '|') AS cells FROM (SELECT id, unnest(string_split(text, E'\\n')) AS content, generate_subscripts(string_split(text, E'\\n'), 1) AS line FROM {S.TABLES.sql()}) "
@@ -413,18 +509,9 @@ def repeated_ids(spark, sf_dir):
 
 @query(f"SELECT conv_id, turn, CASE WHEN NOT {_PII_SQL.format(t='text')} THEN text END AS raw, CASE WHEN {_PII_SQL.format(t='text')} THEN {_anon_sql('text')} END AS anonymized FROM conversations")
 def question_stream(spark, sf_dir):
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not top:
-        import tempfile
-
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        top = tempfile.mkdtemp(prefix="statuta-")
-    at = f"{top.rstrip('/')}/questions-{uuid.uuid4().hex}"
+    at = _scratch(spark, "questions")
     rows = stream.source(spark, sf_dir, "conversations.parquet").select("conv_id", "turn", F.col("text").alias("question"))
     stream.run_available(stream.anonymized(rows), f"{at}/log", f"{at}/state")
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.parquet(f"{at}/log").select("conv_id", "turn", "raw", "anonymized")
 
 

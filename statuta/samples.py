@@ -118,4 +118,10 @@ DOCUMENTS = Sample("path string, value string", [
     ("file:/x/t1/phase9-mihon/mihon-hou/mihon-hou-article-4.md", _document("'4'", "mihon-hou-art-5", "BAD", "", "### 第四条\n\n### 余分\n", tag="phase8-betsu")),
     ("file:/x/t1/phase9-mihon/mihon-hou/mihon-hou-article-6.md", "本文だけ"),
     ("file:/x/t1/phase9-mihon/mihon-hou/mihon-hou-article-7.md", _document("'7'", "mihon-hou-art-7", "402AC0000000001", "  segments:\n  - id: x\n    type: nazo\n    text: あ\n    modality: gimu\n", "### 第七条\n\nあ\n")),
+    ("file:/x/t1/phase9-mihon/mihon-hou/mihon-hou-article-8.md", _document("'8'", "mihon-hou-art-8", "402AC0000000001", "", "### 第八条\n\nい\n").replace("license: MIT\n", "").replace("/law/402AC", "/law/403AC")),
+    ("file:/x/t1/phase9-mihon/mihon-hou/mihon-hou-article-9.md", _document("'9'", "mihon-hou-art-9", "402AC0000000001", "", "### 第九条\n\nう\n").replace("1990-01-02", "1990-13-45").replace("status: none", "status: maybe")),
+    ("file:/x/t1/phase9-mihon/mihon-hou/mihon-hou-article-10.md", _document("'11'", "mihon-hou-art-11", "402AC0000000001", "", "### 第十一条\n\nえ\n").replace("number: 1\n", "number: 2\n")),
+    ("file:/x/t1/phase9-mihon/mihon-hou/mihon-hou-article-12.md", _document("'12'", "mihon-hou-art-12", "402AC0000000001", _SIMPLE.replace("simple", "tadashi"), "### 第十二条\n\nお\n")),
+    ("file:/x/t1/futa-hou/futa-hou-article-3.md", _document("'3'", "futa-hou-art-3", "402AC0000000002", _SIMPLE, "### 第三条\n\nか\n")),
+    ("file:/x/t1/phase9-mihon/mihon-hou/mihon-hou-article-13.md", "---\nlaw_id: 402AC0000000001\n"),
 ])

@@ -16,7 +16,7 @@ def parsed(spark):
 
 def test_parse_keeps_every_row(parsed):
     rows = {r["path"].rsplit("-article-")[1]: r for r in parsed.collect()}
-    assert set(rows) == {"1.md", "2-3.md", "4.md", "6.md", "7.md"}
+    assert set(rows) == {f"{n}.md" for n in ("1", "2-3", "3", "4", "6", "7", "8", "9", "10", "12", "13")}
     assert rows["6.md"]["corrupt"] == "no front matter" and rows["6.md"]["law_abbrev"] == "mihon-hou"
     one = rows["1.md"]
     assert one["article_number"] == "1" and one["machine_translated"] is False and one["cases"] == [] and one["tags"] == ["phase9-mihon", "auto-generated"]
@@ -48,11 +48,11 @@ def test_dump_is_read_back():
 
 def test_violations(parsed):
     got = {r["path"].rsplit("-article-")[1]: r["violations"] for r in integrity.validate(parsed).collect()}
-    assert got == {"1.md": [], "2-3.md": [], "4.md": ["V2", "V5", "V8", "V11"], "6.md": ["V0"], "7.md": ["V10"]}
+    assert got == {"1.md": [], "2-3.md": [], "4.md": ["V2", "V5", "V8", "V11"], "6.md": ["V0"], "7.md": ["V10"], "3.md": [], "8.md": ["V1", "V4"], "9.md": ["V6", "V9"], "10.md": ["V3", "V7"], "12.md": ["V12"], "13.md": ["V0"]}
     assert integrity.exit_code(integrity.validate(parsed)) == 1
     assert integrity.exit_code(integrity.validate(parsed.where("article_number = '1'"))) == 0
     assert integrity.exit_code(integrity.validate(parsed.where("false"))) == 2
-    assert {r["rule"]: r["n"] for r in reports.quality(parsed).collect()}["OK"] == 2
+    assert {r["rule"]: r["n"] for r in reports.quality(parsed).collect()}["OK"] == 3
 
 
 def test_guards_fail_loudly(spark):
