@@ -1,4 +1,4 @@
-"""Sends this package to the executors, so that their Python workers can import it."""
+"""Readies a session: sends this package to the executors, so that their Python workers can import it, and bounds Arrow batches."""
 
 from __future__ import annotations
 
@@ -8,9 +8,18 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Bytes of an Arrow batch; Spark's own bound is 64 MB, which JVM and worker both hold, once per core.
+BATCH_BYTES = 2 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Once per application; Spark itself hands the file to executors that come later or come back."""
+    """Once per application; Spark itself hands the file to executors that come later or come back.
+
+    The bound on batches is the session's own where that names one.
+    """
+    if _BATCH not in spark.conf.getAll:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     context = spark.sparkContext
     if not getattr(context, "statuta_shipped", False):
         top = Path(__file__).resolve().parent
