@@ -42,7 +42,7 @@ from statuta.llm.common import CACHES, map_slices, texts
 CACHED_WORDS = 100_000
 CACHED_ARCS = 300_000
 CACHED_STATES = 100_000
-TOKEN, OPEN = 0, 1
+TOKEN, OPEN = "token", "open"  # no symbol has more than one character
 LONG_WORD = 48
 
 
@@ -66,21 +66,22 @@ class Automaton:
         def spelt(token: str) -> str:
             return token[: -len(suffix) - 1] + last[token[-len(suffix) - 1]] if suffix and token.endswith(suffix) and len(token) > len(suffix) else token
 
-        self.born = {i: -1 for i in vocab.values()}
-        self.left: dict[int, int] = {}
-        self.right: dict[int, int] = {}
+        # By token; -1 for those that no merge makes.
+        self.born, self.left, self.right = ([-1] * (max(vocab.values(), default=-1) + 1) for _ in range(3))
         self.gadget: dict[tuple[int, int], int] = {}
         self.ids = {spelt(c): vocab[c] for c in alphabet} | {last[c]: vocab[c + suffix] for c in alphabet if c + suffix in vocab}
         for k, (u, v) in enumerate(merges):
             a, b = vocab[u], vocab[v]
             w = vocab[(u[: -len(suffix)] if suffix and u.endswith(suffix) and len(u) > len(suffix) else u) + v] if u + v not in vocab else vocab[u + v]
             self.gadget[a, b] = k
-            if w in self.left:
+            if self.born[w] >= 0:
                 raise ValueError("two merges make one token")
             self.born[w], self.left[w], self.right[w] = k, a, b
             self.ids[spelt(self.labels[w])] = w
         self.prefixes = {t[:i] for t in self.ids for i in range(1, len(t))}
-        self.length = {i: len(t) for t, i in self.ids.items()}
+        self.length = [0] * len(self.born)
+        for t, i in self.ids.items():
+            self.length[i] = len(t)
         self.table: dict[int, bool] = {}
         self._forget()
 
@@ -187,7 +188,8 @@ class Encoder:
         self.split_latin = re.compile(_latin_1(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])).findall
         self.special = {t["content"]: t["id"] for t in added}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if added else None
-        self.labels = self.automaton.labels | {i: t for t, i in self.special.items()}
+        self.labels = self.automaton.labels
+        self.labels.update({i: t for t, i in self.special.items()})
         self.cache: dict[str, bytes] = {}
         self.foreign: dict[str, bytes] = {}
 
