@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statuta.llm import bpe, fingerprints, langid, mixing, neardup, pii, tokencount, toolcalls, toxicity, vectors
+from statuta.llm import asof, bpe, divergence, fingerprints, langid, linededup, mixing, neardup, pii, tokencount, toolcalls, toxicity, vectors
 from statuta.llm.common import table
 
 
@@ -50,8 +50,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return asof.clicks_to_orders(table(spark, sf_dir, "clicks"), table(spark, sf_dir, "sales"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op5_token_counts, op6_tool_calls, op7_bpe, op8_minhash, op9_pq, op10_toxicity)}
+    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op5_token_counts, op6_tool_calls, op7_bpe, op8_minhash, op9_pq, op10_toxicity, op11_asof, op12_divergence, op13_line_dedup)}
 
 
 OP3_SQL = """
@@ -130,5 +142,63 @@ FROM root LEFT JOIN n ON n.a = root.vec_id
 """
 
 
+OP11_SQL = """
+WITH h AS (
+  SELECT id, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(1, length(CAST(id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(id AS VARCHAR), CAST(i AS INTEGER), 1)) AS BIGINT))),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda a, k: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)))) AS crc
+  FROM (SELECT click_id AS id FROM clicks UNION SELECT sale_id FROM sales) WHERE id IS NOT NULL),
+c AS (
+  SELECT DISTINCT click_id, client_id, CASE WHEN crc % 2 = 1 THEN epoch_us(ts) - epoch_us(ts) % 21600000000 ELSE epoch_us(ts) END AS ts_us
+  FROM clicks LEFT JOIN h ON h.id = click_id),
+s AS (
+  SELECT sale_id, client_id, CASE WHEN crc % 2 = 1 THEN epoch_us(sold_at) - epoch_us(sold_at) % 21600000000 ELSE epoch_us(sold_at) END AS placed,
+         CAST(floor(100 * total + 0.5) AS BIGINT) AS cents, coalesce(crc % 3, 0) AS third
+  FROM sales LEFT JOIN h ON h.id = sale_id WHERE client_id IS NOT NULL AND sold_at IS NOT NULL),
+o AS (SELECT sale_id, client_id, placed, cents FROM s UNION ALL SELECT -1 - sale_id, client_id, placed, cents FROM s WHERE third <> 0),
+b AS (
+  SELECT *, count(*) OVER (PARTITION BY client_id, placed) AS tied, row_number() OVER (PARTITION BY client_id, placed ORDER BY cents DESC NULLS LAST, sale_id DESC NULLS LAST) AS place FROM o),
+m AS (
+  SELECT c.*, b.sale_id, b.placed, b.cents, b.tied, c.ts_us - b.placed <= 2592000000000 AS near
+  FROM c ASOF LEFT JOIN (SELECT * FROM b WHERE place = 1) b ON c.client_id = b.client_id AND c.ts_us >= b.placed)
+SELECT click_id, client_id, ts_us, CASE WHEN near THEN sale_id END AS sale_id, CASE WHEN near THEN ts_us - placed END AS lag_us,
+       CASE WHEN near THEN cents END AS total_cents, CAST(CASE WHEN near THEN tied ELSE 0 END AS BIGINT) AS n_tied
+FROM m
+"""
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+size AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+c AS (SELECT g.lang, g.source, kept.term, coalesce(n.n, 0) AS n, kept.n AS n_lang, size.v, size.total AS total_lang
+      FROM g JOIN kept USING (lang) JOIN size USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term),
+p AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p,
+             1 + (1000000000::HUGEINT * (n_lang + 1)) // (total_lang + v) AS q FROM c),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS every FROM documents),
+l AS (SELECT doc_id, unnest(every) AS line, generate_subscripts(every, 1) AS place FROM d),
+k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[ 	-
+]+', ''), '[ 	-
+]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+common AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.doc_id, k.line, k.place, common.key IS NOT NULL AND k.doc_id <> common.top AS goes FROM k LEFT JOIN common ON common.key = k.key)
+SELECT doc_id, count(*) AS n_lines, CAST(count_if(goes) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT goes), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL, "op6_tool_calls": OP6_SQL, "op9_pq": OP9_SQL}
+    return {"op3_mixing": OP3_SQL, "op6_tool_calls": OP6_SQL, "op9_pq": OP9_SQL, "op11_asof": OP11_SQL, "op12_divergence": OP12_SQL, "op13_line_dedup": OP13_SQL}
