@@ -13,8 +13,8 @@ the pieces of its bucket in an equi-join, and containment leaves one match.
 
 A key with a third of all rows is no group by itself anywhere: the lead is taken inside cells of
 CELL microseconds and then over the cells' borders, two a cell; the table of widths has one row per
-key and coarse bucket; both joins are sort-merge joins on exchanged rows, whose large partitions
-Spark splits while it runs.  Nothing goes to the driver or into a broadcast of the operator's own.
+key and coarse bucket; both joins are sort-merge joins of exchanged tables, whose large partitions
+Spark splits while it runs (spark.sql.adaptive.skewJoin, which is on by default).  Nothing goes to the driver or into a broadcast of the operator's own.
 """
 
 from __future__ import annotations
@@ -22,7 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+
+from statuta.functions.times import micros
+from statuta.llm.common import Shelf
 
 HOUR = 3_600_000_000
 #: Times of a key are ordered inside cells of this many microseconds, then cell by cell.
@@ -33,15 +35,6 @@ TOLERANCE = 720 * HOUR
 FLOOR = 6 * HOUR
 
 
-def micros(df: DataFrame, name: str) -> Column:
-    """Microseconds since 1970 of a timestamp column; one without a zone is read as UTC, whatever the session's zone."""
-    t = F.col(name)
-    if not isinstance(df.schema[name].dataType, TimestampNTZType):
-        return F.unix_micros(t)
-    seconds = F.unix_date(t.cast("date")).cast("long") * 86_400 + F.hour(t) * 3_600 + F.minute(t) * 60
-    return seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
-
-
 def _floor(t: Column, width: int) -> Column:
     return t - F.pmod(t, F.lit(width))
 
@@ -86,9 +79,11 @@ def join(left: DataFrame, right: DataFrame, tolerance: int = TOLERANCE) -> DataF
     """
     bits = _widths(tolerance)
     once = right.where(F.col("key").isNotNull() & F.col("at").isNotNull()).groupBy("key", "at").agg(F.count(F.lit(1)).alias("n"), F.max("best").alias("best"))
-    pieces = _pieces(intervals(once, tolerance), bits)
+    # As tables, both are exchanged as they are for their joins, whose large partitions Spark can split only then.
+    shelf = Shelf(left.sparkSession, "asof")
+    pieces = shelf.put(_pieces(intervals(once, tolerance), bits), "pieces")
     coarse = F.expr(f"shiftright(shiftleft(bucket, bits), {bits[0]})")
-    used = pieces.groupBy("key", coarse.alias("slot")).agg(F.collect_set("bits").alias("used"))
+    used = shelf.put(pieces.groupBy("key", coarse.alias("slot")).agg(F.collect_set("bits").alias("used")), "used")
     # Rows that can't match may be many, and are dealt by what they hold.
     own = F.xxhash64(*left.columns)
     ready = F.col("key").isNotNull() & F.col("ts").isNotNull()
