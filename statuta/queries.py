@@ -415,7 +415,7 @@ def rendered_articles(spark, sf_dir):
     return files.render(files.parse(S.DOCUMENTS.frame(spark)).where("corrupt IS NULL"))
 
 
-def _scratch(spark, name: str) -> str:
+def scratch(spark, name: str) -> str:
     """A new folder that the driver and all executors share; it goes with the driver's JVM."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
@@ -434,7 +434,7 @@ def _scratch(spark, name: str) -> str:
 
 def _sample_tree(spark) -> str:
     """The sample's files, written as files."""
-    at = _scratch(spark, "articles")
+    at = scratch(spark, "articles")
     for path, value in S.DOCUMENTS.rows:
         to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.replace("file:/x", at))
         out = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(to)
@@ -509,7 +509,7 @@ def repeated_ids(spark, sf_dir):
 
 @query(f"SELECT conv_id, turn, CASE WHEN NOT {_PII_SQL.format(t='text')} THEN text END AS raw, CASE WHEN {_PII_SQL.format(t='text')} THEN {_anon_sql('text')} END AS anonymized FROM conversations")
 def question_stream(spark, sf_dir):
-    at = _scratch(spark, "questions")
+    at = scratch(spark, "questions")
     rows = stream.source(spark, sf_dir, "conversations.parquet").select("conv_id", "turn", F.col("text").alias("question"))
     stream.run_available(stream.anonymized(rows), f"{at}/log", f"{at}/state")
     return spark.read.parquet(f"{at}/log").select("conv_id", "turn", "raw", "anonymized")

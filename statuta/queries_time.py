@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statuta.operators import temporal
-from statuta.queries import query, table
+from statuta.queries import query, scratch, table
+from statuta.streaming import sessions as stream
 
 _AFTER = "INTERVAL 30 MINUTES"
 
@@ -45,3 +46,44 @@ def client_in_force(spark, sf_dir):
     sales = table(spark, sf_dir, "sales").select("sale_id", "client_id", "sold_at")
     found = temporal.in_force(sales, changes, "sold_at", "valid_at", ("client_id",), ("seq", "change_id"))
     return found.select("sale_id", "client_id", "value.change_id", "value.segment", (F.col("value.op") == "D").alias("gone"))
+
+
+#: Starts of each stream on its checkpoint; between two, more rows have come.
+STARTS = 3
+_LATE = "10 days"
+
+
+@query(
+    "WITH e AS (SELECT DISTINCT click_id, client_id, ts, kind FROM clicks WHERE ts IS NOT NULL), "
+    "g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTES THEN 0 ELSE 1 END AS fresh FROM e WINDOW w AS (PARTITION BY client_id ORDER BY ts)), "
+    "s AS (SELECT *, sum(fresh) OVER (PARTITION BY client_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nth FROM g) "
+    "SELECT client_id, min(ts) AS start, max(ts) AS \"end\", count(*) AS n, count(DISTINCT kind) AS n_kinds FROM s GROUP BY client_id, nth "
+    "HAVING max(ts) + INTERVAL 30 MINUTES <= (SELECT max(ts) FROM clicks) - INTERVAL 10 DAYS"
+)
+def click_sessions(spark, sf_dir):
+    """Sessions of the clicks as a stream that comes in three slices by arrival, started anew for each."""
+    at = scratch(spark, "sessions")
+    clicks = table(spark, sf_dir, "clicks").select("click_id", "client_id", "ts", "kind", "arrived_at")
+    clicks = clicks.withColumn("ts", F.col("ts").cast("timestamp"))
+    for rows in stream.arriving(spark, clicks, f"{at}/in", "arrived_at", STARTS):
+        found = stream.sessions(rows, "30 minutes", _LATE, "ts", "client_id", "click_id", "kind")
+        stream.run_available(found, f"{at}/out", f"{at}/state")
+    out = spark.read.parquet(f"{at}/out")
+    return out.select("client_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n", "n_kinds")
+
+
+@query(
+    "WITH r AS (SELECT sale_id AS key, sold_at AS t, true AS opens, NULL AS quantity FROM sales UNION ALL SELECT sale_id, shipped_at, false, quantity FROM sale_lines), "
+    "k AS (SELECT * FROM r WHERE key IS NOT NULL AND t IS NOT NULL) "
+    "SELECT key AS sale_id, min(t) FILTER (WHERE opens) AS opened, CAST(count_if(NOT opens) AS BIGINT) AS n, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS quantity FROM k GROUP BY key "
+    "HAVING coalesce(min(t) FILTER (WHERE opens), min(t)) + INTERVAL 30 DAYS < (SELECT max(t) FROM k) - INTERVAL 10 DAYS"
+)
+def settled_sales(spark, sf_dir):
+    """What has been shipped of a sale thirty days after it, by state and a timer for each sale; lines without a sale count from the first."""
+    at = scratch(spark, "settled")
+    sales = table(spark, sf_dir, "sales").select(F.col("sale_id").alias("key"), F.col("sold_at").alias("time"), F.lit(True).alias("opens"), F.lit(None).cast("long").alias("amount"))
+    lines = table(spark, sf_dir, "sale_lines").select(F.col("sale_id").alias("key"), F.col("shipped_at").alias("time"), F.lit(False).alias("opens"), F.col("quantity").cast("long").alias("amount"))
+    rows = sales.unionByName(lines).withColumn("time", F.col("time").cast("timestamp"))
+    for some in stream.arriving(spark, rows, f"{at}/in", "time", STARTS):
+        stream.run_available(stream.settled(some, 30 * 86_400_000, _LATE), f"{at}/out", f"{at}/state")
+    return spark.read.parquet(f"{at}/out").select(F.col("key").alias("sale_id"), F.col("opened").cast("timestamp_ntz").alias("opened"), "n", F.col("amount").alias("quantity"))
