@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.operators import structure
+from statuta.operators import structure, textdiff
 from statuta.queries import query, table
 from statuta.sources import html
 
@@ -102,3 +102,17 @@ def page_markers(spark, sf_dir):
 )
 def page_table_cells(spark, sf_dir):
     return structure.table_cells(articles(spark, sf_dir), "body", "article_id").withColumnRenamed("column", "place")
+
+
+@query(
+    "SELECT a.doc_id, b.doc_id AS next_id, sha256(coalesce(b.text, '')) AS restored_sha256, CAST(len(string_split(coalesce(b.text, ''), chr(10))) - len(string_split(coalesce(a.text, ''), chr(10))) AS BIGINT) AS lines_more, coalesce(a.text, '') = coalesce(b.text, '') AS same "
+    "FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1"
+)
+def document_differences(spark, sf_dir):
+    """Each document against the one with the next id: its hunks, put to its text, give the other."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pairs = docs.join(docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next")), "doc_id")
+    found = textdiff.differences(pairs, "text", "next", "doc_id", "text")
+    more = F.aggregate("hunks", F.lit(0).cast("long"), lambda n, h: n + F.size(h["added"]) - h["removed"])
+    back = textdiff.applied(found.withColumns({"lines_more": more, "same": F.size("hunks") == 0}), "text", "hunks", "doc_id", "lines_more", "same")
+    return back.select("doc_id", (F.col("doc_id") + 1).alias("next_id"), F.sha2(F.col("text").cast("binary"), 256).alias("restored_sha256"), "lines_more", "same")
