@@ -16,8 +16,9 @@ written down for a source that lacks it.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,9 @@ SCALE = 1_000_000_000
 #: Of the sketch: the relative error, and the confidence. They make 4 rows of 2**18 counters.
 ERROR = 2 / (1 << 18)
 CONFIDENCE = 0.93
-#: Terms that a task counts in memory before it passes their counts on.
-HELD = 100_000
+#: Counts that a task holds in memory before it passes them on, and how many at once.
+HELD = 1 << 20
+BATCH = 1 << 16
 _LETTERS = bytes(c if c >= 0x80 else c | 0x20 if chr(c).isalpha() else 0x20 for c in range(256))
 
 
@@ -44,40 +46,56 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_LETTERS).split()
 
 
+def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct keys in order, and the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[begins], *(np.add.reduceat(v[order], begins) if len(keys) else v for v in values)
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """lang, source, term, n, df: what each task has counted; a key may come several times.
 
     A (lang, source) group comes with a null term as well, so that groups without terms are known.
+    Tasks number terms and groups as they meet them and count the pairs of numbers in arrays.
     """
     schema = "lang string, source string, term string, n long, df long"
     arrow = arrow_schema(schema)
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, tuple[Counter, Counter]] = {}
+        numbers: defaultdict[bytes, int] = defaultdict()
+        groups: defaultdict[tuple, int] = defaultdict()
+        numbers.default_factory, groups.default_factory = numbers.__len__, groups.__len__
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, df) in held.items():
-                if n:
-                    words = list(n)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.repeat(lang, len(words)), pa.repeat(source, len(words)), pa.array(words, pa.binary()).cast(pa.string()),
-                        pa.array(n.values(), pa.int64()), pa.array((df[w] for w in words), pa.int64()),
-                    ], schema=arrow)
-                    n.clear()
-                    df.clear()
+            keys, n, df = held.pop()
+            words, names = pa.array(list(numbers), pa.binary()).cast(pa.string()), [pa.array(c, pa.string()) for c in zip(*groups, strict=True)]
+            for at in range(0, len(keys), BATCH):
+                group, word = (pa.array(x) for x in np.divmod(keys[at : at + BATCH], 1 << 32))
+                yield pa.RecordBatch.from_arrays([*(c.take(group) for c in names), words.take(word), pa.array(n[at : at + BATCH]), pa.array(df[at : at + BATCH])], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*names, *(pa.nulls(len(groups), f.type) for f in list(arrow)[2:])], schema=arrow)
+            numbers.clear()
+            groups.clear()
 
         for batch in batches:
             for part in slices(batch):
-                for text, lang, source in zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("lang").to_pylist(), part.column("source").to_pylist(), strict=True):
-                    n, df = held.setdefault((lang, source), (Counter(), Counter()))
-                    n.update(words := terms(text))
-                    df.update(set(words))
-                if sum(len(n) for n, _ in held.values()) > HELD:
-                    yield from flush()
-        yield from flush()
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(([k[0] for k in held], [k[1] for k in held], *([None] * len(held) for _ in range(3))), arrow, strict=True)], schema=arrow)
+                found = [terms(t) for t in part.column("text").cast(pa.binary()).to_pylist()]
+                sizes = np.fromiter(map(len, found), np.int64, len(found))
+                group = np.fromiter((groups[g] for g in zip(part.column("lang").to_pylist(), part.column("source").to_pylist(), strict=True)), np.int64, len(found))
+                word = np.fromiter(map(numbers.__getitem__, chain.from_iterable(found)), np.int64, int(sizes.sum()))
+                # First by document, for the number of documents; then by group.
+                keys, n = np.unique(np.repeat(np.arange(len(found)), sizes) << 32 | word, return_counts=True)
+                held.append(_summed(group[keys >> 32] << 32 | keys & 0xFFFFFFFF, n, np.ones(len(keys), np.int64)))
+                if len(held) > 64 or sum(len(k) for k, _, _ in held) > 2 * HELD:
+                    held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
+                    if len(held[0][0]) > HELD or len(numbers) > HELD:
+                        yield from flush()
+        if groups:
+            held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
+            yield from flush()
         give_back()
 
     return docs.select(empty("text"), empty("lang"), empty("source")).mapInArrow(run, schema)
@@ -150,12 +168,15 @@ def _pairs(own: DataFrame, groups: DataFrame) -> DataFrame:
     against = hist.join(two, "lang").where(F.col("source") != F.col("other"))
     against = against.groupBy("lang", "source", "other").agg(F.sum(F.col("m") * excess(F.col("share"), F.col("other_least"))).alias("to"), F.sum(F.col("m") * excess(F.col("other_least"), F.col("share"))).alias("from"))
     to, back = against.select("lang", "source", "other", F.col("to").alias("value")), against.select("lang", F.col("other").alias("source"), F.col("source").alias("other"), F.col("from").alias("value"))
-    # Terms that both hold were counted against the least shares twice.
-    a = own.select("lang", "term", "source", F.col("share").alias("p"), F.col("least").alias("p0"))
-    b = own.select("lang", "term", F.col("source").alias("other"), F.col("share").alias("q"), F.col("least").alias("q0"))
+    # Terms that both hold were counted against the least shares twice. Terms that the same groups hold
+    # as often, as most rare ones do, are taken together; a term's groups are at most the language's.
+    held = own.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("source", F.col("share").alias("p"), F.col("least").alias("p0")))).alias("held"))
+    alike = held.where(F.size("held") > 1).groupBy("lang", "held").agg(F.count(F.lit(1)).alias("m"))
+    one_of = alike.select("lang", "held", "m", F.posexplode("held").alias("at", "a"))
+    two_of = one_of.select("lang", "m", "a", F.explode(F.slice("held", F.col("at") + 2, F.size("held"))).alias("b"))
     mend = lambda p, q, p0, q0: excess(p, q) - excess(p, q0) - excess(p0, q) + excess(p0, q0)
-    p, q, p0, q0 = map(F.col, ("p", "q", "p0", "q0"))
-    both = a.join(b, ["lang", "term"]).where(F.col("source") < F.col("other")).groupBy("lang", "source", "other").agg(F.sum(mend(p, q, p0, q0)).alias("there"), F.sum(mend(q, p, q0, p0)).alias("back"))
+    p, q, p0, q0 = F.col("a.p"), F.col("b.p"), F.col("a.p0"), F.col("b.p0")
+    both = two_of.groupBy("lang", F.col("a.source").alias("source"), F.col("b.source").alias("other")).agg(F.sum(F.col("m") * mend(p, q, p0, q0)).alias("there"), F.sum(F.col("m") * mend(q, p, q0, p0)).alias("back"))
     there, again = both.select("lang", "source", "other", F.col("there").alias("value")), both.select("lang", F.col("other").alias("source"), F.col("source").alias("other"), F.col("back").alias("value"))
     every = base.unionByName(to).unionByName(back).unionByName(there).unionByName(again)
     return every.groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
