@@ -161,7 +161,7 @@ def keep_bitmaps(docs: DataFrame, shortest: int = SHORTEST, least: int = LEAST)
 
 def applied(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """doc_id, text without the lines that go, n_lines before, n_dropped."""
-    marks = bitmaps.select(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark"), "bitmap")
+    marks = bitmaps.select(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark"), "bitmap").hint("merge")  # bitmaps grow with the documents
     rows = marked(docs).join(marks, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark")), "left").select("doc_id", "text", "bitmap")
 
     def step(batch: pa.RecordBatch) -> dict:
