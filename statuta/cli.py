@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import argparse
 import sys
+from pathlib import Path
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -23,18 +25,27 @@ def _session() -> SparkSession:
     return ship(SparkSession.builder.appName("statuta").getOrCreate())
 
 
-def validate(paths: list[str]) -> int:
-    """Prints a line per file, goes on after a failure, and sums up on standard error."""
+def format_result(path: str, violations: list[str], root: str | None = None) -> str:
+    """One line for a file, its path relative to root where it lies below that."""
+    path = urlsplit(path).path if path.startswith("file:") else path
+    if root and Path(path).is_relative_to(root):
+        path = str(Path(path).relative_to(root))
+    return ("FAIL" if violations else "PASS") + f" {path}" + (f": {', '.join(violations)}" if violations else "")
+
+
+def validate(paths: list[str], root: str | None = None) -> int:
+    """Prints a line per file in the order of paths, goes on after a failure, and sums up on standard error."""
     if not paths:
         print("usage: validate FILE...", file=sys.stderr)
         return 2
-    found = integrity.validate(articles.parse(articles.scan(_session(), *paths))).cache()
+    found = integrity.validate(articles.parse(articles.scan(_session(), *paths)))
+    n = failed = 0
     for row in found.orderBy("path").toLocalIterator():
-        print(f"{'PASS' if row['ok'] else 'FAIL'} {row['path']}" + (f": {', '.join(row['violations'])}" if row["violations"] else ""))
-    code = integrity.exit_code(found)
-    if code == 1:
-        print(f"violations in {found.where('NOT ok').count()} of {found.count()} files", file=sys.stderr)
-    return code
+        print(format_result(unquote(row["path"]), row["violations"], root or str(Path.cwd())))
+        n, failed = n + 1, failed + (not row["ok"])
+    if failed:
+        print(f"violations in {failed} of {n} files", file=sys.stderr)
+    return 2 if not n else 1 if failed else 0
 
 
 def check_encoding(path: str) -> int:

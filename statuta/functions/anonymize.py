@@ -57,3 +57,7 @@ def escape_html(text: Column) -> Column:
     for old, new in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
         text = F.replace(text, F.lit(old), F.lit(new))
     return text
+
+
+#: The names under which other code knows the patterns, the detector and the anonymised form.
+PATTERNS, detect_pii, anonymize_text = PII, has_pii, anonymize

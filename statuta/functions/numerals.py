@@ -44,3 +44,11 @@ def section_key(name: Column, level: str) -> Column:
     pattern = rf"第({KANJI}+){LEVEL_SIGNS[level]}((?:の{KANJI}+)*)"
     branches = F.filter(F.split(F.regexp_extract(name, pattern, 2), "の"), lambda x: x != "")
     return F.when(name.rlike(pattern), F.concat(F.array(kanji_to_int(F.regexp_extract(name, pattern, 1))), F.transform(branches, kanji_to_int)))
+
+
+def int_to_kanji(n: Column) -> Column:
+    """36 is 三十六; from 1 to 9999, null for other numbers."""
+    digit = lambda unit: (F.floor(n / unit) % 10).cast("int")
+    sign = lambda unit: F.substr(F.lit(DIGITS), digit(unit), F.lit(1))
+    units = [F.when(digit(u) == 0, "").when(digit(u) == 1, s).otherwise(F.concat(sign(u), F.lit(s))) for u, s in ((1000, "千"), (100, "百"), (10, "十"))]
+    return F.when(n.between(1, 9999), F.concat(*units, F.when(digit(1) == 0, "").otherwise(sign(1))))

@@ -71,19 +71,23 @@ def repeated_ids(articles: DataFrame) -> DataFrame:
     return articles.groupBy("tier", "article_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def manifest(articles: DataFrame) -> DataFrame:
+def manifest(articles: DataFrame, *more: Column) -> DataFrame:
     """One row per law.  Nothing is dropped on the way: the rows' sum is that of the articles."""
     return articles.groupBy("law_abbrev").agg(
-        F.min("law_id").alias("law_id"), F.min("phase").alias("phase"), F.count(F.lit(1)).alias("n_articles"), F.min("version_date").alias("version_date"), F.max("last_verified").alias("last_verified")
+        F.min("law_id").alias("law_id"), F.min("phase").alias("phase"), F.count(F.lit(1)).alias("n_articles"), F.min("version_date").alias("version_date"), F.max("last_verified").alias("last_verified"), *more
     )
 
 
 def guarded_manifest(articles: DataFrame) -> DataFrame:
-    """The manifest, once the guards have run as actions of their own; raises IntegrityError.
+    """The manifest, once the guards have passed; raises IntegrityError.
 
-    An assertion inside the plan would be pruned together with its column.
+    One pass over the articles gives the manifest with what the guards look at; it is small, one row
+    a law, and kept, so that articles are read and parsed once.  An assertion inside the plan
+    would be pruned together with its column.
     """
-    for found, what in ((duplicate_keys(articles), "laws in several phases"), (missing_keys(articles), "articles without law_id")):
-        if rows := found.take(5):
+    seen = manifest(articles, F.array_sort(F.collect_set("phase")).alias("phases"), F.count_if(F.col("law_id").isNull()).alias("missing")).persist()
+    for bad, what in ((F.size("phases") > 1, "laws in several phases"), (F.col("missing") > 0, "articles without law_id")):
+        if rows := seen.where(bad).select("law_abbrev", "phases", "missing").take(5):
+            seen.unpersist()
             raise IntegrityError(f"{what}: {[r.asDict() for r in rows]}")
-    return manifest(articles)
+    return seen.drop("phases", "missing")

@@ -73,7 +73,7 @@ def anonymize_documents(spark, sf_dir):
 
 @query(f"SELECT id, {_anon_sql('question')} AS anonymized FROM {S.QUESTIONS.sql()}")
 def anonymize_literals(spark, sf_dir):
-    return S.QUESTIONS.frame(spark).select("id", A.anonymize(F.col("question")).alias("anonymized"))
+    return S.QUESTIONS.frame(spark, sf_dir).select("id", A.anonymize(F.col("question")).alias("anonymized"))
 
 
 @query(f"SELECT doc_id, {_tokens_sql('text')} FROM documents")
@@ -83,7 +83,7 @@ def token_counts(spark, sf_dir):
 
 @query(f"SELECT id, {_tokens_sql('question')} FROM {S.QUESTIONS.sql()} WHERE question IS NOT NULL")
 def token_counts_literals(spark, sf_dir):
-    return S.QUESTIONS.frame(spark).where("question IS NOT NULL").select("id", A.token_counts(F.col("question")).alias("n")).select("id", "n.*")
+    return S.QUESTIONS.frame(spark, sf_dir).where("question IS NOT NULL").select("id", A.token_counts(F.col("question")).alias("n")).select("id", "n.*")
 
 
 @query(
@@ -96,7 +96,7 @@ def pii_raw_drop(spark, sf_dir):
 
 @query(f"SELECT id, {_PII_SQL.format(t='question')} AS pii FROM {S.QUESTIONS.sql()} WHERE question IS NOT NULL")
 def pii_detect_literals(spark, sf_dir):
-    return S.QUESTIONS.frame(spark).where("question IS NOT NULL").select("id", A.has_pii(F.col("question")).alias("pii"))
+    return S.QUESTIONS.frame(spark, sf_dir).where("question IS NOT NULL").select("id", A.has_pii(F.col("question")).alias("pii"))
 
 
 @query("SELECT conv_id, turn, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;') AS html FROM conversations")
@@ -116,7 +116,7 @@ def canonical_path(spark, sf_dir):
     f"'/repo/data' AS root FROM {S.WANTED.sql()}"
 )
 def canonical_path_root(spark, sf_dir):
-    w = S.WANTED.frame(spark)
+    w = S.WANTED.frame(spark, sf_dir)
     c = F.col
     return w.select("law_abbrev", "article_number", keys.article_path(c("law_abbrev"), c("article_number"), "/repo//./data/").alias("path"), keys.article_id(c("law_abbrev"), c("article_number")).alias("article_id"), F.lit("/repo/data").alias("root"))
 
@@ -135,7 +135,7 @@ def enum_domain_check(spark, sf_dir):
 
 @query(f"SELECT w.law_abbrev, w.article_number, l.law_id, l.phase FROM {S.WANTED.sql()} w LEFT JOIN {S.LAWS.sql()} l ON w.law_abbrev = l.law_abbrev")
 def law_lookup(spark, sf_dir):
-    return reports.lookup(S.LAWS.frame(spark), S.WANTED.frame(spark)).select("law_abbrev", "article_number", "law_id", "phase")
+    return reports.lookup(S.LAWS.frame(spark, sf_dir), S.WANTED.frame(spark, sf_dir)).select("law_abbrev", "article_number", "law_id", "phase")
 
 
 _PATTERN = "^([1-5])([0-9]{2})(AC|CO|M|CONSTITUTION)[0-9]*$"
@@ -148,7 +148,7 @@ _PATTERN = "^([1-5])([0-9]{2})(AC|CO|M|CONSTITUTION)[0-9]*$"
     f"FROM (SELECT *, TRY_CAST(regexp_extract(law_id, '{_PATTERN}', 1) AS INTEGER) AS e, TRY_CAST(regexp_extract(law_id, '{_PATTERN}', 2) AS INTEGER) AS y, regexp_extract(law_id, '{_PATTERN}', 3) AS k FROM {S.LAWS.sql()})"
 )
 def law_id_decode(spark, sf_dir):
-    d = S.LAWS.frame(spark).withColumn("d", keys.law_decode(F.col("law_id")))
+    d = S.LAWS.frame(spark, sf_dir).withColumn("d", keys.law_decode(F.col("law_id")))
     return d.select("law_abbrev", F.coalesce("d.era", F.lit("-")).alias("era"), F.coalesce("d.kind", F.lit("-")).alias("kind"), F.coalesce("d.year", F.lit(0)).alias("year"), keys.source_url(F.col("law_id")).alias("source_url"))
 
 
@@ -170,7 +170,7 @@ _kanji_sql_value = _kanji_sql("numeral")
 
 @query(f"SELECT numeral, coalesce({_kanji_sql_value}, -1) AS value FROM {S.NUMERALS.sql()}")
 def kanji_to_int(spark, sf_dir):
-    return S.NUMERALS.frame(spark).select("numeral", F.coalesce(numerals.kanji_to_int(F.col("numeral")), F.lit(-1)).alias("value"))
+    return S.NUMERALS.frame(spark, sf_dir).select("numeral", F.coalesce(numerals.kanji_to_int(F.col("numeral")), F.lit(-1)).alias("value"))
 
 
 @query(
@@ -178,14 +178,14 @@ def kanji_to_int(spark, sf_dir):
     f"regexp_extract_all(regexp_extract(heading, '^第{_K}+条((?:の{_K}+)*)', 1), 'の({_K}+)', 1)), lambda x: CAST({_kanji_sql('x')} AS VARCHAR)), '-') END AS article_number FROM {S.NUMERALS.sql()}"
 )
 def heading_number(spark, sf_dir):
-    return S.NUMERALS.frame(spark).select("heading", numerals.heading_number(F.col("heading"))["article_number"].alias("article_number"))
+    return S.NUMERALS.frame(spark, sf_dir).select("heading", numerals.heading_number(F.col("heading"))["article_number"].alias("article_number"))
 
 
 @query(f"SELECT law_abbrev, article_number, row_number() OVER (PARTITION BY law_abbrev ORDER BY list_transform(string_split(article_number, '-'), lambda x: CAST(x AS INTEGER))) AS place FROM {S.NUMBERS.sql()}")
 def natural_sort_rank(spark, sf_dir):
     from pyspark.sql import Window as W
 
-    n = S.NUMBERS.frame(spark)
+    n = S.NUMBERS.frame(spark, sf_dir)
     return n.select("law_abbrev", "article_number", F.row_number().over(W.partitionBy("law_abbrev").orderBy(keys.natural_key(F.col("article_number")))).cast("long").alias("place"))
 
 
@@ -199,28 +199,28 @@ _REFS_SQL = f"array_to_string(list_sort(list_distinct(regexp_extract_all(text, '
 
 @query(f"SELECT article_id, number, {_TYPE_SQL} AS type FROM {S.PARAGRAPHS.sql()}")
 def segment_type(spark, sf_dir):
-    return S.PARAGRAPHS.frame(spark).select("article_id", "number", clauses.paragraph_type(F.col("text")).alias("type"))
+    return S.PARAGRAPHS.frame(spark, sf_dir).select("article_id", "number", clauses.paragraph_type(F.col("text")).alias("type"))
 
 
 @query(f"SELECT article_id, number, {_MODALITY_SQL} AS modality FROM {S.PARAGRAPHS.sql()}")
 def modality(spark, sf_dir):
-    return S.PARAGRAPHS.frame(spark).select("article_id", "number", clauses.modality(F.col("text")).alias("modality"))
+    return S.PARAGRAPHS.frame(spark, sf_dir).select("article_id", "number", clauses.modality(F.col("text")).alias("modality"))
 
 
 @query(f"SELECT article_id, number, {_REFS_SQL} AS refs FROM {S.PARAGRAPHS.sql()} WHERE text IS NOT NULL")
 def references(spark, sf_dir):
-    return S.PARAGRAPHS.frame(spark).where("text IS NOT NULL").withColumn("r", clauses.references(F.col("text"))).select("article_id", "number", joined("r").alias("refs"))
+    return S.PARAGRAPHS.frame(spark, sf_dir).where("text IS NOT NULL").withColumn("r", clauses.references(F.col("text"))).select("article_id", "number", joined("r").alias("refs"))
 
 
 @query(f"SELECT article_id, number, array_to_string(regexp_extract_all(text, '{clauses.PROVISIONS}', 1), '|') AS provisions FROM {S.PARAGRAPHS.sql()} WHERE {_TYPE_SQL} = 'junyou'")
 def applies_provisions(spark, sf_dir):
-    rows = S.PARAGRAPHS.frame(spark).withColumn("p", clauses.applies_provisions(F.col("text"))).where("p IS NOT NULL")
+    rows = S.PARAGRAPHS.frame(spark, sf_dir).withColumn("p", clauses.applies_provisions(F.col("text"))).where("p IS NOT NULL")
     return rows.select("article_id", "number", joined("p").alias("provisions"))
 
 
 @query(f"SELECT article_id, number, regexp_extract(text, '{clauses.TARGET}', 1) AS target FROM {S.PARAGRAPHS.sql()} WHERE {_TYPE_SQL} = 'tokusoku'")
 def override_target(spark, sf_dir):
-    return S.PARAGRAPHS.frame(spark).select("article_id", "number", clauses.override_target(F.col("text")).alias("target")).where("target IS NOT NULL")
+    return S.PARAGRAPHS.frame(spark, sf_dir).select("article_id", "number", clauses.override_target(F.col("text")).alias("target")).where("target IS NOT NULL")
 
 
 _SPLIT_SQL = (
@@ -231,7 +231,7 @@ _SPLIT_SQL = (
 
 @query(f"SELECT article_id, number, s.t AS type, s.x AS text FROM ({_SPLIT_SQL})")
 def proviso_split(spark, sf_dir):
-    return S.PARAGRAPHS.frame(spark).select("article_id", "number", F.explode(clauses.split_proviso(F.col("text"))).alias("s")).select("article_id", "number", "s.type", "s.text")
+    return S.PARAGRAPHS.frame(spark, sf_dir).select("article_id", "number", F.explode(clauses.split_proviso(F.col("text"))).alias("s")).select("article_id", "number", "s.type", "s.text")
 
 
 @query(
@@ -239,7 +239,7 @@ def proviso_split(spark, sf_dir):
     f"FROM (SELECT article_id, number, s.t AS type, s.x AS text FROM ({_SPLIT_SQL}))"
 )
 def segments(spark, sf_dir):
-    return structure.segments(S.PARAGRAPHS.frame(spark)).select("id", "type", "modality", joined("references").alias("refs"))
+    return structure.segments(S.PARAGRAPHS.frame(spark, sf_dir)).select("id", "type", "modality", joined("references").alias("refs"))
 
 
 @query(
@@ -249,7 +249,7 @@ def segments(spark, sf_dir):
     f"UNION ALL SELECT id, 'overrides', regexp_extract(text, '{clauses.TARGET}', 1) FROM s WHERE type = 'tokusoku' AND regexp_matches(text, '{clauses.TARGET}')"
 )
 def citation_edges(spark, sf_dir):
-    return citations.edges(structure.segments(S.PARAGRAPHS.frame(spark)))
+    return citations.edges(structure.segments(S.PARAGRAPHS.frame(spark, sf_dir)))
 
 
 @query(
@@ -260,7 +260,7 @@ def citation_edges(spark, sf_dir):
     f"SELECT r.law_abbrev, r.article_number, r.target, CASE WHEN f.n = r.high - r.low + 1 THEN f.t ELSE '' END AS targets, coalesce(f.n = r.high - r.low + 1, false) AS resolved FROM r LEFT JOIN f ON f.rid = r.\"row\""
 )
 def adjacency_resolution(spark, sf_dir):
-    found = citations.resolve(S.PHRASES.frame(spark), S.NUMBERS.frame(spark))
+    found = citations.resolve(S.PHRASES.frame(spark, sf_dir), S.NUMBERS.frame(spark, sf_dir))
     return found.select("law_abbrev", "article_number", "target", joined("targets").alias("targets"), "resolved")
 
 
@@ -270,53 +270,53 @@ def adjacency_resolution(spark, sf_dir):
     f"CASE WHEN o.body IS DISTINCT FROM n.body THEN 'body' END, CASE WHEN o.tag IS DISTINCT FROM n.tag THEN 'tag' END], lambda x: x IS NOT NULL), '|') END AS changed FROM {S.OLD.sql()} o FULL OUTER JOIN {S.NEW.sql()} n ON o.article_id = n.article_id"
 )
 def version_diff(spark, sf_dir):
-    return versions.diff(S.OLD.frame(spark), S.NEW.frame(spark)).select("article_id", "status", joined("changed").alias("changed"))
+    return versions.diff(S.OLD.frame(spark, sf_dir), S.NEW.frame(spark, sf_dir)).select("article_id", "status", joined("changed").alias("changed"))
 
 
 @query(f"SELECT * FROM {S.OLD.sql()} o WHERE NOT EXISTS (SELECT 1 FROM {S.NEW.sql()} n WHERE n.article_id = o.article_id)")
 def only_in_old(spark, sf_dir):
-    return versions.only_in(S.OLD.frame(spark), S.NEW.frame(spark))
+    return versions.only_in(S.OLD.frame(spark, sf_dir), S.NEW.frame(spark, sf_dir))
 
 
 @query(f"SELECT * FROM {S.OLD.sql()} o WHERE EXISTS (SELECT 1 FROM {S.NEW.sql()} n WHERE n.article_id = o.article_id)")
 def in_both_tiers(spark, sf_dir):
-    return versions.in_both(S.OLD.frame(spark), S.NEW.frame(spark))
+    return versions.in_both(S.OLD.frame(spark, sf_dir), S.NEW.frame(spark, sf_dir))
 
 
 @query(f"SELECT article_id FROM {S.OLD.sql()} EXCEPT ALL SELECT article_id FROM {S.NEW.sql()}")
 def tier_except(spark, sf_dir):
-    return versions.keys_except(S.OLD.frame(spark), S.NEW.frame(spark))
+    return versions.keys_except(S.OLD.frame(spark, sf_dir), S.NEW.frame(spark, sf_dir))
 
 
 @query(f"SELECT article_id FROM {S.OLD.sql()} INTERSECT SELECT article_id FROM {S.NEW.sql()}")
 def tier_intersect(spark, sf_dir):
-    return versions.keys_common(S.OLD.frame(spark), S.NEW.frame(spark))
+    return versions.keys_common(S.OLD.frame(spark, sf_dir), S.NEW.frame(spark, sf_dir))
 
 
 @query(f"SELECT 'old' AS tier, article_id, law_name, body, CAST(NULL AS VARCHAR) AS tag FROM {S.OLD.sql()} UNION ALL SELECT 'new', article_id, law_name, body, tag FROM {S.NEW.sql()}")
 def tier_union(spark, sf_dir):
-    old, new = S.OLD.frame(spark).drop("tag").withColumn("tier", F.lit("old")), S.NEW.frame(spark).withColumn("tier", F.lit("new"))
+    old, new = S.OLD.frame(spark, sf_dir).drop("tag").withColumn("tier", F.lit("old")), S.NEW.frame(spark, sf_dir).withColumn("tier", F.lit("new"))
     return versions.union(old, new).select("tier", "article_id", "law_name", "body", "tag")
 
 
 @query(f"SELECT law_abbrev, array_to_string(list_sort(list(DISTINCT phase)), '|') AS phases FROM {S.MEMBERS.sql()} GROUP BY law_abbrev HAVING count(DISTINCT phase) > 1")
 def duplicate_key_report(spark, sf_dir):
-    return integrity.duplicate_keys(S.MEMBERS.frame(spark)).select("law_abbrev", joined("phases").alias("phases"))
+    return integrity.duplicate_keys(S.MEMBERS.frame(spark, sf_dir)).select("law_abbrev", joined("phases").alias("phases"))
 
 
 @query(f"SELECT law_abbrev, path FROM {S.MEMBERS.sql()} WHERE law_id IS NULL")
 def missing_key_report(spark, sf_dir):
-    return integrity.missing_keys(S.MEMBERS.frame(spark))
+    return integrity.missing_keys(S.MEMBERS.frame(spark, sf_dir))
 
 
-@query(f"SELECT law_abbrev, min(law_id) AS law_id, min(phase) AS phase, count(*) AS n_articles, min(version_date) AS version_date, max(last_verified) AS last_verified FROM {S.MEMBERS.sql()} WHERE law_abbrev IN ('alpha', 'beta') GROUP BY law_abbrev")
+@query(f"SELECT law_abbrev, min(law_id) AS law_id, min(phase) AS phase, count(*) AS n_articles, min(version_date) AS version_date, max(last_verified) AS last_verified FROM {S.MEMBERS.sql()} WHERE law_abbrev LIKE 'alpha-%' OR law_abbrev LIKE 'beta-%' GROUP BY law_abbrev")
 def manifest(spark, sf_dir):
-    return integrity.guarded_manifest(S.MEMBERS.frame(spark).where(F.col("law_abbrev").isin("alpha", "beta")))
+    return integrity.guarded_manifest(S.MEMBERS.frame(spark, sf_dir).where(F.col("law_abbrev").rlike("^(alpha|beta)-")))
 
 
 @query(f"SELECT coalesce(hen, -1) AS hen, coalesce(shou, -1) AS shou, coalesce(setsu, -1) AS setsu, CAST(GROUPING(hen) * 4 + GROUPING(shou) * 2 + GROUPING(setsu) AS INTEGER) AS level, count(*) AS n FROM {S.SECTIONS.sql()} GROUP BY ROLLUP (hen, shou, setsu)")
 def section_rollup(spark, sf_dir):
-    found = reports.section_rollup(S.SECTIONS.frame(spark))
+    found = reports.section_rollup(S.SECTIONS.frame(spark, sf_dir))
     return found.select(*(F.coalesce(c, F.lit(-1)).alias(c) for c in ("hen", "shou", "setsu")), "level", "n")
 
 
@@ -325,7 +325,7 @@ def section_rollup(spark, sf_dir):
     f"lambda x: CAST({_kanji_sql('x')} AS VARCHAR)), '-') END AS chapter FROM {S.SECTIONS.sql()}"
 )
 def section_order(spark, sf_dir):
-    return S.SECTIONS.frame(spark).withColumn("k", numerals.section_key(F.col("shou_name"), "shou")).select("article_id", F.concat_ws("-", F.col("k").cast("array<string>")).alias("chapter"))
+    return S.SECTIONS.frame(spark, sf_dir).withColumn("k", numerals.section_key(F.col("shou_name"), "shou")).select("article_id", F.concat_ws("-", F.col("k").cast("array<string>")).alias("chapter"))
 
 
 _FM = "split_part(value, E'\\n---\\n', 1)"
@@ -336,7 +336,7 @@ _FM = "split_part(value, E'\\n---\\n', 1)"
 )
 def frontmatter_flat(spark, sf_dir):
     names = ("law_id", "law_name_ja", "article_number", "article_id", "version_date", "translation_status")
-    return S.DOCUMENTS.frame(spark).select("path", *(files.flat_field(F.col("value"), k).alias(k) for k in names))
+    return S.DOCUMENTS.frame(spark, sf_dir).select("path", *(files.flat_field(F.col("value"), k).alias(k) for k in names))
 
 
 # The oracles of whole articles read the front matter line by line, which the sample's files allow.
@@ -344,15 +344,20 @@ def _field_sql(k: str) -> str:
     return f"nullif(regexp_replace(regexp_extract(front, '(?m)^{k}: (.+)$', 1), '^[''\"](.*)[''\"]$', '\\1'), '')"
 
 
+_TREE = S.DOCUMENTS.over("supplier", "s_suppkey")
 _PATH = r"([^/]+)/(?:(phase[0-9]+-[a-z]+)/)?([a-z0-9-]+)/([a-z0-9-]+)-article-([0-9-]+)\.md$"
 _FIELDS = ("law_id", "article_number", "article_id", "version_date", "source_url", "last_verified", "translation_status", "machine_translated")
-_ARTICLES_SQL = (
-    "(SELECT path, value, corrupt, body, front, tier, law_abbrev, tag, coalesce(phase, tag) AS phase, numbers, len(numbers) AS n, " + ", ".join(f"{_field_sql(k)} AS {k}" for k in _FIELDS)
-    + f" FROM (SELECT *, nullif(regexp_extract(path, '{_PATH}', 1), '') AS tier, nullif(regexp_extract(path, '{_PATH}', 2), '') AS phase, nullif(regexp_extract(path, '{_PATH}', 3), '') AS law_abbrev, "
-    "nullif(regexp_extract(front, '(?m)^tags:\\n- (.+)$', 1), '') AS tag, regexp_extract_all(front, '(?m)^- number: (.+)$', 1) AS numbers FROM (SELECT *, CASE WHEN corrupt IS NULL THEN split_part(value, E'\\n---\\n', 1) END AS front, "
-    "CASE WHEN corrupt IS NULL THEN substr(value, strpos(value, E'\\n---\\n') + 5) END AS body FROM (SELECT *, CASE WHEN NOT starts_with(value, E'---\\n') THEN 'no front matter' "
-    f"WHEN NOT contains(value, E'\\n---\\n') THEN 'front matter does not end' END AS corrupt FROM {S.DOCUMENTS.sql()}))))"
-)
+def _articles_sql(rows: str) -> str:
+    return (
+        "(SELECT path, value, corrupt, body, front, tier, law_abbrev, tag, coalesce(phase, tag) AS phase, numbers, len(numbers) AS n, " + ", ".join(f"{_field_sql(k)} AS {k}" for k in _FIELDS)
+        + f" FROM (SELECT *, nullif(regexp_extract(path, '{_PATH}', 1), '') AS tier, nullif(regexp_extract(path, '{_PATH}', 2), '') AS phase, nullif(regexp_extract(path, '{_PATH}', 3), '') AS law_abbrev, "
+        "nullif(regexp_extract(front, '(?m)^tags:\\n- (.+)$', 1), '') AS tag, regexp_extract_all(front, '(?m)^- number: (.+)$', 1) AS numbers FROM (SELECT *, CASE WHEN corrupt IS NULL THEN split_part(value, E'\\n---\\n', 1) END AS front, "
+        "CASE WHEN corrupt IS NULL THEN substr(value, strpos(value, E'\\n---\\n') + 5) END AS body FROM (SELECT *, CASE WHEN NOT starts_with(value, E'---\\n') THEN 'no front matter' "
+        f"WHEN NOT contains(value, E'\\n---\\n') THEN 'front matter does not end' END AS corrupt FROM {rows}))))"
+    )
+
+
+_ARTICLES_SQL = _articles_sql(S.DOCUMENTS.sql())
 
 
 def _names(values) -> str:
@@ -373,10 +378,14 @@ _RULES = {
     "V11": "phase IS DISTINCT FROM tag",
     "V12": "len(list_filter(string_split(front, E'\\n- number: ')[2:], lambda p: contains(p, E'\\n  - id: ') AND (contains(p, 'type: hashira') <> contains(p, 'has_items: true') OR contains(p, 'type: tadashi') <> contains(p, 'has_proviso: true')))) > 0",
 }
-_FOUND_SQL = (
-    "(SELECT *, CASE WHEN corrupt IS NOT NULL THEN ['V0'] ELSE list_filter([" + ", ".join(f"CASE WHEN {bad} THEN '{code}' END" for code, bad in _RULES.items())
-    + f"], lambda x: x IS NOT NULL) END AS found FROM {_ARTICLES_SQL})"
-)
+def _found_sql(articles: str) -> str:
+    return (
+        "(SELECT *, CASE WHEN corrupt IS NOT NULL THEN ['V0'] ELSE list_filter([" + ", ".join(f"CASE WHEN {bad} THEN '{code}' END" for code, bad in _RULES.items())
+        + f"], lambda x: x IS NOT NULL) END AS found FROM {articles})"
+    )
+
+
+_FOUND_SQL, _TREE_SQL = _found_sql(_ARTICLES_SQL), _found_sql(_articles_sql(_TREE.sql()))
 
 
 @query(
@@ -384,17 +393,17 @@ _FOUND_SQL = (
     f"machine_translated = 'true' AS machine_translated, corrupt FROM {_ARTICLES_SQL}"
 )
 def frontmatter_parse(spark, sf_dir):
-    return files.parse(S.DOCUMENTS.frame(spark)).select("path", "tier", "phase", "law_abbrev", "article_number", F.size("paragraphs").alias("n_paragraphs"), "parent_section.shou_name_ja", "machine_translated", "corrupt")
+    return files.parse(S.DOCUMENTS.frame(spark, sf_dir)).select("path", "tier", "phase", "law_abbrev", "article_number", F.size("paragraphs").alias("n_paragraphs"), "parent_section.shou_name_ja", "machine_translated", "corrupt")
 
 
 @query(f"SELECT path, array_to_string(found, '|') AS violations, len(found) = 0 AS ok FROM {_FOUND_SQL}")
 def validation_report(spark, sf_dir):
-    return integrity.validate(files.parse(S.DOCUMENTS.frame(spark))).select("path", joined("violations").alias("violations"), "ok")
+    return integrity.validate(files.parse(S.DOCUMENTS.frame(spark, sf_dir))).select("path", joined("violations").alias("violations"), "ok")
 
 
 @query(f"SELECT rule, count(*) AS n FROM (SELECT unnest(CASE WHEN len(found) = 0 THEN ['OK'] ELSE found END) AS rule FROM {_FOUND_SQL}) GROUP BY rule")
 def quality_report(spark, sf_dir):
-    return reports.quality(files.parse(S.DOCUMENTS.frame(spark)))
+    return reports.quality(files.parse(S.DOCUMENTS.frame(spark, sf_dir)))
 
 
 @query(
@@ -405,14 +414,14 @@ def quality_report(spark, sf_dir):
     f"(SELECT *, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM (SELECT *, string_split_regex(body, '(?m)^### ') AS parts FROM {_ARTICLES_SQL})) WHERE k > 1)"
 )
 def body_paragraphs(spark, sf_dir):
-    rows = structure.paragraphs(files.parse(S.DOCUMENTS.frame(spark)))
+    rows = structure.paragraphs(files.parse(S.DOCUMENTS.frame(spark, sf_dir)))
     covered = structure.covered(F.col("article_number"), F.col("last_verified"))
     return rows.select("article_id", "number", "heading", "text", F.col("named.article_number").alias("named"), covered.alias("covered"))
 
 
 @query(f"SELECT tier || '/' || phase || '/' || law_abbrev || '/' || law_abbrev || '-article-' || article_number || '.md' AS path, value FROM {_ARTICLES_SQL} WHERE corrupt IS NULL")
 def rendered_articles(spark, sf_dir):
-    return files.render(files.parse(S.DOCUMENTS.frame(spark)).where("corrupt IS NULL"))
+    return files.render(files.parse(S.DOCUMENTS.frame(spark, sf_dir)).where("corrupt IS NULL"))
 
 
 def scratch(spark, name: str) -> str:
@@ -432,32 +441,29 @@ def scratch(spark, name: str) -> str:
     return at
 
 
-def _sample_tree(spark) -> str:
-    """The sample's files, written as files."""
+def _sample_tree(spark, sf_dir: str) -> str:
+    """Article files, one for each supplier, written as files by the tasks; the shared folder has to be mounted by all executors."""
     at = scratch(spark, "articles")
-    for path, value in S.DOCUMENTS.rows:
-        to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.replace("file:/x", at))
-        out = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(to)
-        out.write(value.encode())
-        out.close()
+    rows = _TREE.frame(spark, sf_dir).select(F.regexp_extract("path", "^file:/x/(.*)$", 1).alias("path"), "value")
+    files.write_files(rows, at, mounted=at.startswith(("file:", "/")))
     return at
 
 
 _BELOW = r"(t1/.*)$"
 
 
-@query(f"SELECT regexp_extract(path, '{_BELOW}', 1) AS path, array_to_string(found, '|') AS violations, len(found) = 0 AS ok FROM {_FOUND_SQL}")
+@query(f"SELECT regexp_extract(path, '{_BELOW}', 1) AS path, array_to_string(found, '|') AS violations, len(found) = 0 AS ok FROM {_TREE_SQL}")
 def article_files(spark, sf_dir):
-    found = integrity.validate(files.read_articles(spark, _sample_tree(spark)))
+    found = integrity.validate(files.read_articles(spark, _sample_tree(spark, sf_dir)))
     return found.select(F.regexp_extract("path", _BELOW, 1).alias("path"), joined("violations").alias("violations"), "ok")
 
 
 @query(
     "SELECT law_abbrev, min(law_id) AS law_id, min(phase) AS phase, count(*) AS n_articles, min(version_date) AS version_date, max(last_verified) AS last_verified "
-    f"FROM {_FOUND_SQL} WHERE len(found) = 0 GROUP BY law_abbrev"
+    f"FROM {_TREE_SQL} WHERE len(found) = 0 GROUP BY law_abbrev"
 )
 def article_files_manifest(spark, sf_dir):
-    articles = files.read_articles(spark, _sample_tree(spark))
+    articles = files.read_articles(spark, _sample_tree(spark, sf_dir))
     return integrity.guarded_manifest(articles.where(F.size(integrity.violations()) == 0))
 
 
@@ -467,7 +473,7 @@ def article_files_manifest(spark, sf_dir):
     f"WHERE content LIKE '|%|' AND length(content) > 1 AND translate(content, ' :|-', '') <> ''))"
 )
 def table_cells(spark, sf_dir):
-    return structure.table_cells(S.TABLES.frame(spark), "text", "id").withColumnRenamed("column", "place")
+    return structure.table_cells(S.TABLES.frame(spark, sf_dir), "text", "id").withColumnRenamed("column", "place")
 
 
 def _charset_class(charset: str) -> str:
@@ -487,7 +493,7 @@ _UNSAFE = rf"[^\x00-\x1f{_charset_class('cp932')}]"
 
 @query(f"SELECT id, array_to_string(list_sort(list_distinct(regexp_extract_all(question, '{_UNSAFE}'))), '') AS unsafe FROM {S.QUESTIONS.sql()}")
 def encoding_safety(spark, sf_dir):
-    return safety.check_encoding(S.QUESTIONS.frame(spark), "question").select("id", "unsafe")
+    return safety.check_encoding(S.QUESTIONS.frame(spark, sf_dir), "question").select("id", "unsafe")
 
 
 @query(f"SELECT NOT regexp_matches(text, '{_UNSAFE}') AS safe, count(*) AS n FROM documents GROUP BY ALL")
@@ -497,13 +503,13 @@ def encoding_safety_documents(spark, sf_dir):
 
 @query(f"SELECT 'phase' || number || '-mihon' AS phase, regexp_replace(article_id, '-art-.*$', '') AS law_abbrev, {_MODALITY_SQL} AS modality, count(*) AS n FROM (SELECT article_id, number, s.t AS type, s.x AS text FROM ({_SPLIT_SQL})) GROUP BY ALL")
 def modality_distribution(spark, sf_dir):
-    rows = structure.segments(S.PARAGRAPHS.frame(spark)).withColumns({"phase": F.concat(F.lit("phase"), "number", F.lit("-mihon")), "law_abbrev": F.regexp_replace("article_id", "-art-.*$", "")})
+    rows = structure.segments(S.PARAGRAPHS.frame(spark, sf_dir)).withColumns({"phase": F.concat(F.lit("phase"), "number", F.lit("-mihon")), "law_abbrev": F.regexp_replace("article_id", "-art-.*$", "")})
     return reports.modality_by_law(rows).select("phase", "law_abbrev", "modality", "n")
 
 
 @query(f"SELECT tier, article_id, count(*) AS n FROM (SELECT 'old' AS tier, article_id FROM {S.OLD.sql()} UNION ALL SELECT 'old', article_id FROM {S.NEW.sql()} UNION ALL SELECT 'new', article_id FROM {S.NEW.sql()}) GROUP BY ALL HAVING count(*) > 1")
 def repeated_ids(spark, sf_dir):
-    of = lambda sample, tier: sample.frame(spark).select(F.lit(tier).alias("tier"), "article_id")
+    of = lambda sample, tier: sample.frame(spark, sf_dir).select(F.lit(tier).alias("tier"), "article_id")
     return integrity.repeated_ids(of(S.OLD, "old").unionByName(of(S.NEW, "old")).unionByName(of(S.NEW, "new")))
 
 
@@ -517,12 +523,12 @@ def question_stream(spark, sf_dir):
 
 @query(f"SELECT law_abbrev, phase || '|auto-generated' AS tags FROM {S.LAWS.sql()}")
 def default_tags(spark, sf_dir):
-    return S.LAWS.frame(spark).withColumn("t", keys.default_tags(F.col("phase"))).select("law_abbrev", joined("t").alias("tags"))
+    return S.LAWS.frame(spark, sf_dir).withColumn("t", keys.default_tags(F.col("phase"))).select("law_abbrev", joined("t").alias("tags"))
 
 
 @query(f"SELECT article_id, number, bool_or(s.t = 'hashira') AS has_items, bool_or(s.t = 'tadashi') AS has_proviso FROM ({_SPLIT_SQL}) GROUP BY article_id, number")
 def paragraph_flags(spark, sf_dir):
-    rows = S.PARAGRAPHS.frame(spark).where("text IS NOT NULL").withColumn("f", structure.flags(clauses.split_proviso(F.col("text"))))
+    rows = S.PARAGRAPHS.frame(spark, sf_dir).where("text IS NOT NULL").withColumn("f", structure.flags(clauses.split_proviso(F.col("text"))))
     return rows.select("article_id", "number", "f.*")
 
 
@@ -532,22 +538,22 @@ def paragraph_flags(spark, sf_dir):
     f"|| CASE WHEN type = 'tokusoku' THEN ' override_flag: true' || CASE WHEN o <> '' THEN ' override_target: ' || o ELSE '' END ELSE '' END || ' -->' || chr(10) || text AS marked FROM s"
 )
 def segment_markers(spark, sf_dir):
-    rows = S.PARAGRAPHS.frame(spark).select(F.explode(clauses.segments(F.col("article_id"), F.col("number"), F.col("text"))).alias("s"))
+    rows = S.PARAGRAPHS.frame(spark, sf_dir).select(F.explode(clauses.segments(F.col("article_id"), F.col("number"), F.col("text"))).alias("s"))
     return rows.select("s.id", structure.marked(F.col("s")).alias("marked"))
 
 
 @query(f"SELECT id, nullif(regexp_extract(regexp_replace(body, '<!-- segment: [^>]*-->\\n?', '', 'g'), '(?m)^# .*第[0-9-]+条\\(（(.*)）\\)', 1), '') AS caption, len(string_split(article_number, '-')) - 1 <= CASE WHEN last_verified = '2026-06-01' THEN 1 ELSE 0 END AS covered FROM {S.BODIES.sql()}")
 def captions_and_coverage(spark, sf_dir):
     c = F.col
-    return S.BODIES.frame(spark).select("id", structure.caption(c("body")).alias("caption"), structure.covered(c("article_number"), c("last_verified")).alias("covered"))
+    return S.BODIES.frame(spark, sf_dir).select("id", structure.caption(c("body")).alias("caption"), structure.covered(c("article_number"), c("last_verified")).alias("covered"))
 
 
 @query(f"SELECT article_id, number, trim(text) = '削除' AS repealed FROM {S.PARAGRAPHS.sql()} WHERE text IS NOT NULL")
 def repealed(spark, sf_dir):
-    return S.PARAGRAPHS.frame(spark).where("text IS NOT NULL").select("article_id", "number", clauses.is_repealed(F.col("text")).alias("repealed"))
+    return S.PARAGRAPHS.frame(spark, sf_dir).where("text IS NOT NULL").select("article_id", "number", clauses.is_repealed(F.col("text")).alias("repealed"))
 
 
 @query(f"SELECT a.article_id, coalesce(string_agg(d.kind || ':' || d.title, '|' ORDER BY d.kind, d.title), '') AS details FROM {S.OLD.sql()} a LEFT JOIN {S.DETAILS.sql()} d ON d.article_id = a.article_id GROUP BY a.article_id")
 def attach_details(spark, sf_dir):
-    rows = details.attach(S.OLD.frame(spark), S.DETAILS.frame(spark), "found")
+    rows = details.attach(S.OLD.frame(spark, sf_dir), S.DETAILS.frame(spark, sf_dir), "found")
     return rows.select("article_id", F.concat_ws("|", F.transform("found", lambda d: F.concat(d["kind"], F.lit(":"), d["title"]))).alias("details"))

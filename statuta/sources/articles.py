@@ -102,21 +102,30 @@ def _plain(value):
 
 
 def write_articles(articles: DataFrame, root: str, mounted: bool = False) -> None:
-    """Writes one file per article below root, by its canonical path; a task that is run again writes the same bytes.
+    """Writes one file per article below root, by its canonical path; a task that is run again writes the same bytes."""
+    write_files(render(articles), root, mounted)
 
-    Executors write with plain file calls.  So unless Spark runs in one process, the caller has to
-    say that root is mounted by all of them.
+
+def write_files(files: DataFrame, root: str, mounted: bool = False) -> None:
+    """Writes one file per row of path and value below root.
+
+    Executors write with plain file calls, each file under another name first, so that none is ever
+    seen half written.  So unless Spark runs in one process, the caller has to say that root is
+    mounted by all of them.
     """
-    files = render(articles)
     if not mounted and not files.sparkSession.sparkContext.master.startswith("local"):
         raise NotImplementedError("one file per row needs a folder that all executors mount")
+    top = root.removeprefix("file://").removeprefix("file:")
 
     def save(rows) -> None:
+        import os
         from pathlib import Path
 
         for row in rows:
-            at = Path(root) / row["path"]
+            at = Path(top) / row["path"]
             at.parent.mkdir(parents=True, exist_ok=True)
-            at.write_text(row["value"], encoding="utf-8")
+            made = at.with_name(f".{at.name}.{os.getpid()}")
+            made.write_text(row["value"], encoding="utf-8")
+            made.replace(at)
 
     files.foreachPartition(save)
