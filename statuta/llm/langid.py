@@ -16,13 +16,16 @@ linear in its length.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from statuta.llm.common import crc, give_back, map_slices, texts
+from statuta.llm.common import Shelf, arrow_schema, crc, give_back, slices, texts
 
 DIM = 1024
 N = 3
@@ -30,7 +33,7 @@ UNKNOWN = "und"
 SEED = 20_240_601
 DENSE = 1 << 21
 COLUMNS = 2048
-#: Languages that are learned, the most frequent first.
+#: Languages whose vectors a task, the driver or a broadcast holds at once; texts meet further ones in further passes.
 LANGUAGES = 1000
 #: Of the expected cosine; a text with less is in no learned language.
 SHARE = 0.4
@@ -107,25 +110,67 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def learn(docs: DataFrame, usable: Column | None = None) -> tuple[dict[str, np.ndarray], dict[str, int]]:
-    """Prototypes by language, the mean n-gram vector over all usable rows with text and language; and the numbers of these rows.
+class Learned:
+    """What was learned: a table of lang, n (documents that taught it) and vector (the sum of their mean n-grams).
 
-    The LANGUAGES most frequent languages are learned, so a task, the driver and the broadcast
-    hold so many vectors at most.  Tasks add up their own documents.
+    ``blocks`` gives the prototypes out by code point, at most LANGUAGES at a time, so neither the
+    driver nor a broadcast holds those of any number of languages.
+    """
+
+    def __init__(self, found: DataFrame):
+        self.found = found
+        self.count = found.count()
+        self.cuts = [r["lang"] for i, r in enumerate(found.select("lang").sort("lang").toLocalIterator()) if i % LANGUAGES == 0] if self.count > LANGUAGES else []
+        self.mean = self._mean()
+
+    def _mean(self) -> np.ndarray:
+        """The mean of the prototypes' directions, in whole numbers, so that it doesn't depend on the order of tasks."""
+        if self.count < 2:
+            return np.zeros(DIM)
+
+        def units(batches):
+            for batch in batches:
+                rows = np.array(batch.column("vector").to_pylist(), float).reshape(batch.num_rows, DIM)
+                rows /= np.maximum(1e-9, np.linalg.norm(rows, axis=1, keepdims=True))
+                yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(DIM, dtype=np.int32), len(rows))), pa.array(np.rint(rows * 2**40).astype(np.int64).ravel())], names=["axis", "value"])
+
+        sums = self.found.select("vector").mapInArrow(units, "axis int, value long").groupBy("axis").agg(F.sum("value").alias("value")).collect()
+        out = np.zeros(DIM)
+        for axis, value in sums:
+            out[axis] = value / 2**40 / self.count
+        return out
+
+    def blocks(self) -> Iterator[Profiles]:
+        bounds = [*self.cuts, None] if self.cuts else [None, None]
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            rows = self.found if low is None else self.found.where(F.col("lang") >= low)
+            rows = (rows if high is None else rows.where(F.col("lang") < high)).collect()
+            yield Profiles({r["lang"]: np.array(r["vector"], float) / 2**20 / r["n"] for r in rows}, {r["lang"]: r["n"] for r in rows}, self.mean)
+
+
+def learn(docs: DataFrame, usable: Column | None = None) -> Learned:
+    """Prototypes by language, the mean n-gram vector over all usable rows with text and language.
+
+    Tasks add up their own documents, for LANGUAGES languages at once.
     """
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     rows = (rows.where(usable) if usable is not None else rows).select("text", "lang")
-    often = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    known = {r["lang"]: r["n"] for r in often.collect()}
-    if len(known) == LANGUAGES:
-        rows = rows.where(F.col("lang").isin(list(known)))
 
     def sums(batches):
-        import pyarrow as pa
-
-        from statuta.llm.common import slices
-
         total: dict[str, np.ndarray] = {}
+        taught: dict[str, int] = {}
+
+        def flush() -> pa.RecordBatch:
+            langs = list(total)
+            out = pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(np.array(langs, object), DIM + 1), pa.string()),
+                pa.array(np.tile(np.arange(DIM + 1, dtype=np.int32), len(langs))),
+                pa.array(np.concatenate([np.append(total[x], taught[x]) for x in langs] or [np.zeros(0, np.int64)]), pa.int64()),
+            ], names=["lang", "axis", "value"])
+            total.clear()
+            taught.clear()
+            return out
+
         for batch in batches:
             for part in slices(batch):
                 vectors, n = bundles(texts(part.column("text")))
@@ -135,32 +180,27 @@ def learn(docs: DataFrame, usable: Column | None = None) -> tuple[dict[str, np.n
                     # Whole numbers, so that sums do not depend on the order of tasks.
                     add = np.rint(unit[langs == lang].astype(np.float64) * 2**20).sum(axis=0).astype(np.int64)
                     total[lang] = total.get(lang, 0) + add
-        langs = list(total)
+                    taught[lang] = taught.get(lang, 0) + int((langs == lang).sum())
+                if len(total) > LANGUAGES:
+                    yield flush()
         give_back()
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.repeat(np.array(langs, object), DIM), pa.string()),
-            pa.array(np.tile(np.arange(DIM, dtype=np.int32), len(langs))),
-            pa.array(np.concatenate([*total.values(), np.zeros(0, np.int64)]), pa.int64()),
-        ], names=["lang", "axis", "value"])
-
-    parts = rows.mapInArrow(sums, "lang string, axis int, value long")
-    out: dict[str, np.ndarray] = {}
-    for lang, values in parts.groupBy("lang", "axis").agg(F.sum("value").alias("value")).groupBy("lang").agg(F.collect_list(F.struct("axis", "value"))).collect():
-        vector = np.zeros(DIM)
-        for axis, value in values:
-            vector[axis] = value
-        out[lang] = vector / 2**20 / known[lang]
-    return out, known
+        yield flush()
+
+    sums_ = rows.mapInArrow(sums, "lang string, axis int, value long").groupBy("lang", "axis").agg(F.sum("value").alias("value"))
+    # One row a language: DIM sums in order, and the number of documents behind them.
+    values = F.transform(F.array_sort(F.collect_list(F.struct("axis", "value"))), lambda x: x["value"])
+    found = sums_.groupBy("lang").agg(values.alias("v")).select("lang", F.element_at("v", DIM + 1).alias("n"), F.slice("v", 1, DIM).alias("vector"))
+    return Learned(Shelf(docs.sparkSession, "languages").put(found, "found"))
 
 
 class Profiles:
     """Prototypes made ready for comparison."""
 
-    def __init__(self, prototypes: dict[str, np.ndarray], taught: dict[str, int] | None = None):
+    def __init__(self, prototypes: dict[str, np.ndarray], taught: dict[str, int], mean: np.ndarray):
         self.names = sorted(prototypes)
-        self.sure = np.array([(taught or {}).get(x, 0) >= LEAST for x in self.names])
+        self.sure = np.array([taught[x] >= LEAST for x in self.names])
         unit = {x: prototypes[x] / max(1e-9, float(np.linalg.norm(prototypes[x]))) for x in self.names}
-        self.mean = np.mean([unit[x] for x in self.names], axis=0) if len(self.names) > 1 else np.zeros(DIM)
+        self.mean = mean
         own = np.array([unit[x] - self.mean for x in self.names]).reshape(len(self.names), DIM)
         size = np.linalg.norm(own, axis=1, keepdims=True)
         self.own = own / np.maximum(size, 1e-9)
@@ -178,15 +218,6 @@ class Profiles:
             unit = unit / np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9)
         return unit @ self.own.T, n
 
-    def predict(self, batch: list[str]) -> tuple[list[str], list[float]]:
-        known = [bool(self.names) and has_letter(t) for t in batch]
-        if not self.names:
-            return [UNKNOWN] * len(batch), [0.0] * len(batch)
-        cosines, _ = self.cosines(batch)
-        best = cosines.argmax(axis=1)
-        top = np.clip(cosines[np.arange(len(batch)), best], 0, 1)
-        return [self.names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], [float(s) if k else 0.0 for s, k in zip(top, known, strict=True)]
-
     def expected(self, n: np.ndarray, language: np.ndarray) -> np.ndarray:
         """The cosine with its language that a text of n n-grams, drawn from the language one by one, has.
 
@@ -195,61 +226,78 @@ class Profiles:
         signal = n * self.strength[language]
         return np.sqrt(signal / (signal + DIM))
 
-    def accept(self, batch: list[str]) -> list[str | None]:
-        """The language of each text, or None where it is in none that was learned.
+    def judge(self, batch: list[str]) -> list[tuple[str, float, bool]]:
+        """The language of each text among these, its cosine, and whether the text is too unlike it.
 
-        A text is turned away if it has no letter, or if its cosine is below SHARE of what its
-        language and length let expect.  It stays where that is below TELLING, the text being too
-        short to tell, or where fewer than LEAST documents have taught the language.
+        That is so if its cosine is below SHARE of what its language and length let expect, unless
+        that is below TELLING, the text being too short to tell, or fewer than LEAST documents have
+        taught the language.
         """
         cosines, n = self.cosines(batch)
         best = cosines.argmax(axis=1)
         top, wanted = cosines[np.arange(len(batch)), best], self.expected(n, best)
         bad = self.sure[best] & (wanted >= TELLING) & (top < SHARE * wanted)
-        return [self.names[b] if has_letter(t) and not no else None for t, b, no in zip(batch, best, bad, strict=True)]
+        return [(self.names[b], float(c), bool(x)) for b, c, x in zip(best, top, bad, strict=True)]
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Predicted language and score of every row, with the columns in keep."""
-    profiles = docs.sparkSession.sparkContext.broadcast(Profiles(prototypes))  # at most LANGUAGES times DIM numbers
-    docs = docs.select("text", *keep)
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+_JUDGED = "struct<lang: string, cosine: double, bad: boolean>"
 
-    def step(batch):
-        langs, scores = profiles.value.predict(texts(batch.column("text")))
-        return {c: batch.column(c) for c in keep} | {"lang_pred": langs, "score": scores}
 
-    return map_slices(docs, f"{kinds}, lang_pred string, score double", step)
+def judged(docs: DataFrame, learned: Learned, name: str, whole: bool = True) -> DataFrame:
+    """docs with a struct column called name: the best language of every row with a letter, its cosine, and whether the row is too unlike it.
+
+    The struct is null where there is no letter.  Each block of languages is a pass over the texts,
+    and stands in where its cosine is larger, so ties go to the language first by code point.  Without
+    whole, the text is left out of the result.
+    """
+    kind = arrow_schema(f"x {_JUDGED}")[0].type
+    rest = [c for c in docs.columns if whole or c != "text"]
+
+    def over(profiles, first: bool, keep: list[str]):
+        def run(batches):
+            for batch in batches:
+                for part in slices(batch):
+                    held = texts(part.column("text"))
+                    now = [x if has_letter(t) else None for t, x in zip(held, profiles.value.judge(held), strict=True)]
+                    if not first:
+                        now = [x if x is None or x[1] > old["cosine"] else tuple(old.values()) for x, old in zip(now, part.column(name).to_pylist(), strict=True)]
+                    found = pa.array([x and dict(zip(("lang", "cosine", "bad"), x, strict=True)) for x in now], kind)
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), found], names=[*keep, name])
+            give_back()
+
+        return run
+
+    blocks = -(-learned.count // LANGUAGES)
+    for i, block in enumerate(learned.blocks()):
+        keep = rest if i == blocks - 1 else list(dict.fromkeys([*rest, "text"]))
+        schema = StructType([docs.schema[c] for c in keep]).add(name, StructType.fromDDL(f"x {_JUDGED}")["x"].dataType)
+        source = docs.select(*dict.fromkeys([*rest, "text"])) if i == 0 else out
+        out = source.mapInArrow(over(docs.sparkSession.sparkContext.broadcast(block), i == 0, keep), schema)  # LANGUAGES times DIM numbers at most
+    return out
 
 
 def report(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every row; learned from the rows that are not held out."""
     held_out = crc(F.col("doc_id")) % 4 == 2
-    prototypes, _ = learn(docs, ~held_out)
-    return identify(docs.withColumn("doc_id", F.col("doc_id").cast("long")), prototypes).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    learned = learn(docs, ~held_out)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
+    if not learned.count:
+        return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    score = F.coalesce(F.least(F.greatest("found.cosine", F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+    return judged(rows, learned, "found", whole=False).select("doc_id", "held_out", F.coalesce("found.lang", F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score"))
 
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that are in a language of the corpus, with their columns; a null lang is filled in.
 
+    Texts without a letter go, and those that ``Profiles.judge`` finds too unlike their language.
     Where nothing could be learned, as no row has a text with a language, all rows stay as they are.
     """
-    prototypes, taught = learn(docs)
-    if not prototypes:
+    learned = learn(docs)
+    if not learned.count:
         return docs
-    profiles = docs.sparkSession.sparkContext.broadcast(Profiles(prototypes, taught))  # at most LANGUAGES times DIM numbers
-
-    def run(batches):
-        import pyarrow as pa
-
-        from statuta.llm.common import slices
-
-        for batch in batches:
-            for part in slices(batch):
-                found = profiles.value.accept(texts(part.column("text")))
-                lang = [new if old is None else old for old, new in zip(part.column("lang").to_pylist(), found, strict=True)]
-                columns = {c: part.column(c) for c in part.schema.names} | {"lang": pa.array(lang, part.schema.field("lang").type)}
-                part = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-                yield part.filter(pa.array([x is not None for x in found], pa.bool_()))
-        give_back()
-
-    return docs.mapInArrow(run, docs.schema)
+    name = "judged"
+    while name in docs.columns:
+        name += "_"
+    kept = judged(docs, learned, name).where(F.col(name).isNotNull() & ~F.col(f"{name}.bad"))
+    return kept.select(*(F.coalesce("lang", f"{name}.lang").alias("lang") if c == "lang" else F.col(c) for c in docs.columns))

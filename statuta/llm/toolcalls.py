@@ -120,6 +120,7 @@ def depths(calls: DataFrame) -> DataFrame:
 
 def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """conv_id, turn, kind, status, depth, position, valid and canonical JSON of every message; a call's body is its arguments in JSON."""
+    messages = messages.select("conv_id", "turn", "kind", "id", "after", "name", "body")
     tagged = messages.where(F.col("id").isNotNull() & F.col("conv_id").isNotNull() & F.col("kind").isin("call", "result"))
     per_id = tagged.groupBy("conv_id", "id").agg(
         F.sum(F.when(F.col("kind") == "call", 1).otherwise(0)).alias("calls"), F.sum(F.when(F.col("kind") == "result", 1).otherwise(0)).alias("results"), F.max("after").alias("after"),

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 import zlib
 from hashlib import sha256
@@ -110,6 +111,52 @@ def test_language(spark, docs, empty, real):
     assert langid.accepted(docs).count() == sum(langid.has_letter(r[1]) for r in AWKWARD) and langid.accepted(docs).columns == docs.columns
 
 
+def _plain_predictions(docs, usable):
+    """Prototypes and cosines by the definition, one text and one n-gram at a time."""
+    def vector(text):
+        words = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+        out = np.zeros(langid.DIM)
+        for k in range(len(words) - 2):
+            a, b, c = (langid._signs(0 if x == " " else ord(x)).astype(float) for x in words[k : k + 3])
+            out += np.roll(a, 2) * np.roll(b, 1) * c
+        return out / max(1, len(words) - 2) if words.strip() else out
+
+    taught = collections.defaultdict(list)
+    for ident, text, lang in docs:
+        if usable(ident) and text is not None and lang is not None:
+            taught[lang].append(vector(text))
+    unit = lambda v: v / max(1e-9, np.linalg.norm(v))
+    directions = {x: unit(np.mean(v, axis=0)) for x, v in sorted(taught.items())}
+    mean = np.mean(list(directions.values()), axis=0)
+    out = {}
+    for ident, text, _ in docs:
+        if not text or not any(map(str.isalpha, text)):
+            out[ident] = ("und", 0.0)
+            continue
+        v = unit(vector(text))
+        v = unit(v - (v @ mean) / (mean @ mean) * mean)
+        out[ident] = max(((x, float(v @ unit(d - mean))) for x, d in directions.items()), key=lambda x: x[1])
+    return out
+
+
+@pytest.mark.parametrize("most", [2, 1000])
+def test_language_equals_the_definition_for_any_number_of_languages(spark, most, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", most)  # with 2, the seven languages are learned and met in blocks
+    rng = random.Random(8)
+    letters = {f"l{k}": "".join(rng.sample("abcdefghijklmnopqrstuvwxyzéß", 9)) for k in range(7)}
+    docs = [(i, " ".join("".join(rng.choices(letters[x], k=rng.randrange(1, 8))) for _ in range(rng.randrange(1, 12))), x if i % 9 else None) for i in range(150) for x in [rng.choice(list(letters))]]
+    docs += [(200, None, "l1"), (201, "", "l2"), (202, "12 .", "l3"), (203, "äöü " * 6000, None)]
+    usable = lambda i: zlib.crc32(str(i).encode()) % 4 != 2
+    want = _plain_predictions(docs, usable)
+    frame = spark.createDataFrame([(*d, 1, 2.0) for d in docs], "doc_id long, text string, lang string, judged int, found double")
+    got = {r.doc_id: r for r in langid.report(frame).collect()}
+    assert len(got) == len(docs)
+    for i, (lang, score) in want.items():
+        assert got[i].lang_pred == lang and abs(got[i].score - min(1, max(0, score))) < 1e-4
+    kept = langid.accepted(frame)
+    assert kept.columns == frame.columns and {r.doc_id for r in kept.collect()} >= {d[0] for d in docs[:150]} - {i for i in range(150) if want[i][1] < 0.5}
+
+
 def test_bundles_are_sums_of_bound_vectors():
     text = "Ab, a!"
     want = np.zeros(langid.DIM)
@@ -497,3 +544,14 @@ def test_language_stage_decides(spark, real):
     assert langid.accepted(nothing).count() == frame.count()
     filled = langid.accepted(frame.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang")))).collect()
     assert all(r["lang"] for r in filled)
+
+
+def test_tool_calls_ignore_columns_of_any_name_and_repeated_turns(spark):
+    rows = [(1, 0, "call", "a", None, "reply", '{"turn": 0, "prompt": "x"}'), (1, 1, "result", "a", None, "assistant", "y"), (1, 2, "call", "b", "a", "reply", '{"prompt": "", "turn": 2}'), (1, 2, "call", "c", "b", "nothing", "{}"), (1, 2, "call", "c", "b", "nothing", "{}")]
+    plain = spark.createDataFrame(rows, "conv_id long, turn long, kind string, id string, after string, name string, body string")
+    extra = plain.selectExpr("*", "1 AS calls", "2 AS results", "3 AS depth", "4 AS many", "5 AS status", "6 AS position", "7 AS valid", "8 AS json")
+    got = sorted(map(tuple, toolcalls.link(extra, toolcalls.REPLY).collect()))
+    assert got == sorted(map(tuple, toolcalls.link(plain, toolcalls.REPLY).collect()))
+    assert [(r[2], r[3], r[4], r[5], r[6]) for r in got] == [
+        ("call", "linked", 1, 1, True), ("result", "linked", 1, 2, True), ("call", "ambiguous", 0, 0, False), ("call", "ambiguous", 0, 0, False), ("call", "pending", 2, 3, False),
+    ]
