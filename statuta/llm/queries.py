@@ -14,6 +14,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op1_pii finds by its patterns and checksums alone, for which there is SQL."""
+    return op1_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
 
@@ -63,7 +68,7 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op5_token_counts, op6_tool_calls, op7_bpe, op8_minhash, op9_pq, op10_toxicity, op11_asof, op12_divergence, op13_line_dedup)}
+    return {f.__name__: f for f in (op1_pii, op2_language_id, op3_mixing, op4_fingerprints, op5_token_counts, op6_tool_calls, op7_bpe, op8_minhash, op9_pq, op10_toxicity, op11_asof, op12_divergence, op13_line_dedup, pii_base_spans)}
 
 
 OP3_SQL = """
@@ -129,6 +134,20 @@ SELECT conv_id, turn, kind,
 FROM s
 """
 
+#: Every pair that shares a shingle is counted out, and components are followed link by link.
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(t) < 2 THEN t ELSE list_distinct(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) END AS held FROM w),
+u AS (SELECT doc_id, len(held) AS n, unnest(held) AS h FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.h = b.h AND a.doc_id <> b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, p.b FROM reach r JOIN p ON p.a = r.other),
+root AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.held) AS BIGINT) AS n_shingles, root.component_id, s.doc_id = root.component_id AS kept FROM s JOIN root USING (doc_id)
+"""
+
 OP9_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 p AS (
@@ -200,5 +219,26 @@ FROM m GROUP BY doc_id
 """
 
 
+_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+_DIGIT = "CAST(digits[len(digits) - k] AS INTEGER)"
+_LUHN = f"list_sum(list_transform(range(len(digits)), lambda k: CASE WHEN k % 2 = 0 THEN {_DIGIT} WHEN {_DIGIT} > 4 THEN 2 * {_DIGIT} - 9 ELSE 2 * {_DIGIT} END)) % 10 = 0"
+#: A match stands behind the texts between the matches up to it, and these matches.
+PII_SQL = (
+    "WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), m AS ("
+    + " UNION ALL ".join(
+        f"SELECT doc_id, {i} AS place, '{kind}' AS kind, unnest(regexp_extract_all(text, '{p}')) AS found, unnest(regexp_split_to_array(text, '{p}')[:len(regexp_extract_all(text, '{p}'))]) AS gap, generate_subscripts(regexp_extract_all(text, '{p}'), 1) AS nth FROM d"
+        for i, (kind, p) in enumerate(_PATTERNS.items())
+    )
+    + "), s AS (SELECT *, CAST(sum(length(gap) + length(found)) OVER (PARTITION BY doc_id, kind ORDER BY nth) AS BIGINT) AS until, regexp_replace(found, '[^0-9]', '', 'g') AS digits FROM m), "
+    "ok AS (SELECT * FROM s WHERE CASE kind WHEN 'email' THEN true WHEN 'ip' THEN list_max(list_transform(string_split(found, '.'), lambda x: CAST(x AS DOUBLE))) <= 255 "
+    f"WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15 ELSE length(digits) BETWEEN 16 AND 19 AND {_LUHN} END) "
+    "SELECT doc_id, " + ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in _PATTERNS)
+    + ", sha256(coalesce(string_agg(kind || ':' || (until - length(found)) || ':' || until, ',' ORDER BY place, nth), '')) AS base_sha256 FROM d LEFT JOIN ok USING (doc_id) GROUP BY doc_id"
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL, "op6_tool_calls": OP6_SQL, "op9_pq": OP9_SQL, "op11_asof": OP11_SQL, "op12_divergence": OP12_SQL, "op13_line_dedup": OP13_SQL}
+    return {"pii_base_spans": PII_SQL, "op3_mixing": OP3_SQL, "op6_tool_calls": OP6_SQL, "op8_minhash": OP8_SQL, "op9_pq": OP9_SQL, "op11_asof": OP11_SQL, "op12_divergence": OP12_SQL, "op13_line_dedup": OP13_SQL}
