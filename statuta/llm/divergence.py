@@ -2,7 +2,7 @@
 
 Texts are read once: each task counts its terms per language and source (occurrences, and documents
 that hold them), and writes the counts.  A count-min sketch of the document frequencies, which
-Spark's own aggregate merges from all tasks, then tells an upper bound of every term's frequency in
+Spark's own aggregate merges from all tasks, part by part, then tells an upper bound of every term's frequency in
 its language; terms whose bound is too low can't be kept and go before anything is shuffled.  The
 others are counted exactly, so what the sketch lets through by mistake goes there.  The sketch has
 a fixed size: on a corpus that fills it more terms pass, and the result stays the same.
@@ -32,9 +32,10 @@ from statuta.llm.common import Shelf, arrow_schema, give_back, slices
 LEAST = 3
 TOP = 200
 SCALE = 1_000_000_000
-#: Of the sketch: the relative error, and the confidence. They make 4 rows of 2**18 counters.
+#: Of the sketch: the relative error, and the confidence. They make 4 rows of 2**18 counters, in so many parts by key.
 ERROR = 2 / (1 << 18)
 CONFIDENCE = 0.93
+SHARES = 64
 #: Counts that a task holds in memory before it passes them on, and how many at once.
 HELD = 1 << 20
 BATCH = 1 << 16
@@ -109,25 +110,31 @@ def _sketch(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def likely(parts: DataFrame, least: int = LEAST, error: float = ERROR, confidence: float = CONFIDENCE) -> DataFrame:
-    """The rows of ``counted`` whose term may be in least documents of its language: all that are, and few others."""
+    """The rows of ``counted`` whose term may be in least documents of its language: all that are, and few others.
+
+    The sketch is one of SHARES parts by key, so that no task merges what all tasks send.
+    """
     key = F.xxhash64("lang", "term")
     rows = parts.where(F.col("term").isNotNull())
     # A count adds itself up to least times: enough to tell, and never too little.
     each = rows.select(F.explode(F.array_repeat(key, F.least("df", F.lit(least)).cast("int"))).alias("key"))
-    blob = each.agg(F.count_min_sketch("key", F.lit(error), F.lit(confidence), F.lit(42)).alias("s")).first()[0]
-    if blob is None:
+    made = each.groupBy(F.pmod("key", F.lit(SHARES)).alias("share")).agg(F.count_min_sketch("key", F.lit(min(1.0, error * SHARES)), F.lit(confidence), F.lit(42)).alias("s")).collect()
+    if not made:
         return rows
-    shared = parts.sparkSession.sparkContext.broadcast(_sketch(bytes(blob)))
+    read = {r["share"]: _sketch(bytes(r["s"])) for r in made}
+    factors, one = next(iter(read.values()))  # one seed, so the same multipliers in all parts
+    shared = parts.sparkSession.sparkContext.broadcast((factors, np.stack([read[i][1] if i in read else np.zeros_like(one) for i in range(SHARES)])))
 
     @F.arrow_udf("boolean")
     def enough(keys: pa.Array) -> pa.Array:
         factors, counters = shared.value
         x, out = keys.to_numpy(zero_copy_only=False).astype(np.int64), np.full(len(keys), 255, np.uint8)
+        part = x % SHARES
         with np.errstate(over="ignore"):
-            for factor, row in zip(factors, counters, strict=True):
+            for i, factor in enumerate(factors):
                 h = x * factor
                 h = (h + (h >> 32)) & 0x7FFFFFFF
-                out = np.minimum(out, row[h.astype(np.int32) % len(row)])
+                out = np.minimum(out, counters[part, i, h % counters.shape[2]])
         return pa.array(out >= least)
 
     return rows.where(enough.asNondeterministic()(key))
