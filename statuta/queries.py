@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,7 @@ from statuta.functions import clauses, domains, keys, numerals
 from statuta.operators import citations, details, integrity, safety, structure, versions
 from statuta.plans import reports
 from statuta.sources import articles as files
+from statuta.sources.scratch import scratch
 from statuta.streaming import questions as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -424,23 +424,6 @@ def rendered_articles(spark, sf_dir):
     return files.render(files.parse(S.DOCUMENTS.frame(spark, sf_dir)).where("corrupt IS NULL"))
 
 
-def scratch(spark, name: str) -> str:
-    """A new folder that the driver and all executors share; it goes with the driver's JVM."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not top:
-        import tempfile
-
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        top = tempfile.mkdtemp(prefix="statuta-")
-    at = f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    system.mkdirs(path)
-    system.deleteOnExit(path)
-    return at
-
-
 def _sample_tree(spark, sf_dir: str) -> str:
     """Article files, one for each supplier, written as files by the tasks; the shared folder has to be mounted by all executors."""
     at = scratch(spark, "articles")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statuta.operators import temporal
-from statuta.queries import query, scratch, table
+from statuta.queries import query, table
+from statuta.sources import upsert
+from statuta.sources.scratch import scratch
 from statuta.streaming import sessions as stream
 
 _AFTER = "INTERVAL 30 MINUTES"
@@ -87,3 +89,19 @@ def settled_sales(spark, sf_dir):
     for some in stream.arriving(spark, rows, f"{at}/in", "time", STARTS):
         stream.run_available(stream.settled(some, 30 * 86_400_000, _LATE), f"{at}/out", f"{at}/state")
     return spark.read.parquet(f"{at}/out").select(F.col("key").alias("sale_id"), F.col("opened").cast("timestamp_ntz").alias("opened"), "n", F.col("amount").alias("quantity"))
+
+
+@query(
+    "WITH k AS (SELECT DISTINCT * FROM client_changes WHERE client_id IS NOT NULL AND valid_at IS NOT NULL), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY valid_at DESC, seq DESC NULLS LAST, change_id DESC NULLS LAST) AS place FROM k) "
+    "SELECT client_id, CAST(client_id % 8 AS BIGINT) AS share, change_id, op, segment, city FROM r WHERE place = 1"
+)
+def clients_merged(spark, sf_dir):
+    """The newest change of every client, in a table of eight partitions that takes the changes in three merges."""
+    at = f"{scratch(spark, 'clients')}/table"
+    changes = table(spark, sf_dir, "client_changes").where("client_id IS NOT NULL AND valid_at IS NOT NULL")
+    rows = changes.select("client_id", (F.col("client_id") % 8).alias("share"), "valid_at", "seq", "change_id", "op", "segment", "city")
+    for low, high in (("2024-03-01", "2024-04-01"), (None, "2024-03-01"), ("2024-04-01", None)):  # the second comes late
+        some = rows.where(F.lit(True) if low is None else F.col("valid_at") >= F.lit(low).cast("timestamp_ntz")).where(F.lit(True) if high is None else F.col("valid_at") < F.lit(high).cast("timestamp_ntz"))
+        upsert.upsert(some, at, ("client_id",), ("share",), ("valid_at", "seq", "change_id"))
+    return upsert.table(spark, at, rows.schema).select("client_id", "share", "change_id", "op", "segment", "city")
