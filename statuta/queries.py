@@ -11,7 +11,7 @@ from statuta import samples as S
 from statuta import schema
 from statuta.functions import anonymize as A
 from statuta.functions import clauses, domains, keys, numerals
-from statuta.operators import citations, details, integrity, safety, structure, versions
+from statuta.operators import citations, closure, details, integrity, safety, structure, versions
 from statuta.plans import reports
 from statuta.sources import articles as files
 from statuta.sources.scratch import scratch
@@ -252,18 +252,35 @@ def citation_edges(spark, sf_dir):
     return citations.edges(structure.segments(S.PARAGRAPHS.frame(spark, sf_dir)))
 
 
-@query(
+_ADJACENT_SQL = (
     f"WITH i AS (SELECT law_abbrev, article_number, row_number() OVER (PARTITION BY law_abbrev ORDER BY list_transform(string_split(article_number, '-'), lambda x: CAST(x AS INTEGER))) AS place FROM {S.NUMBERS.sql()} WHERE complete), "
     f"p AS (SELECT p.*, i.place, CASE target WHEN '前条' THEN 1 WHEN '前二条' THEN 2 WHEN '前三条' THEN 3 END AS many FROM {S.PHRASES.sql()} p LEFT JOIN i USING (law_abbrev, article_number)), "
     f"r AS (SELECT *, CASE WHEN many IS NOT NULL THEN place - many WHEN target = '次条' THEN place + 1 WHEN target = '本条' THEN place END AS low, CASE WHEN many IS NOT NULL THEN place - 1 WHEN target = '次条' THEN place + 1 WHEN target = '本条' THEN place END AS high FROM p), "
     f"f AS (SELECT r.\"row\" AS rid, string_agg(i.article_number, '|' ORDER BY i.place) AS t, count(*) AS n FROM r JOIN i ON i.law_abbrev = r.law_abbrev AND i.place BETWEEN r.low AND r.high GROUP BY r.\"row\") "
     f"SELECT r.law_abbrev, r.article_number, r.target, CASE WHEN f.n = r.high - r.low + 1 THEN f.t ELSE '' END AS targets, coalesce(f.n = r.high - r.low + 1, false) AS resolved FROM r LEFT JOIN f ON f.rid = r.\"row\""
 )
+
+
+@query(_ADJACENT_SQL)
 def adjacency_resolution(spark, sf_dir):
     found = citations.resolve(S.PHRASES.frame(spark, sf_dir), S.NUMBERS.frame(spark, sf_dir))
     return found.select("law_abbrev", "article_number", "target", joined("targets").alias("targets"), "resolved")
 
 
+@query(
+    f"WITH RECURSIVE e AS (SELECT DISTINCT law_abbrev || ' ' || article_number AS source, law_abbrev || ' ' || unnest(string_split(targets, '|')) AS target FROM ({_ADJACENT_SQL}) WHERE resolved), "
+    "r(source, target, depth) AS (SELECT source, target, 1 FROM e UNION SELECT r.source, e.target, r.depth + 1 FROM r JOIN e ON e.source = r.target WHERE r.depth < 16), "
+    "c AS (SELECT source, target, min(depth) AS depth FROM r GROUP BY ALL) "
+    "SELECT c.source, c.target, c.depth, b.source IS NOT NULL AS cyclic FROM c LEFT JOIN c b ON b.source = c.target AND b.target = c.source"
+)
+def citation_closure(spark, sf_dir):
+    """All articles that an article leads to by its references and theirs."""
+    found = citations.resolve(S.PHRASES.frame(spark, sf_dir), S.NUMBERS.frame(spark, sf_dir)).where("resolved")
+    of = lambda number: F.concat_ws(" ", "law_abbrev", number)
+    edges = found.select(of("article_number").alias("source"), "law_abbrev", F.explode("targets").alias("to")).select("source", of("to").alias("target"))
+    return closure.closure(edges)[0]
+
+
 @query(
     f"SELECT coalesce(o.article_id, n.article_id) AS article_id, CASE WHEN o.article_id IS NULL THEN 'added' WHEN n.article_id IS NULL THEN 'removed' WHEN o.law_name IS DISTINCT FROM n.law_name OR o.body IS DISTINCT FROM n.body "
     f"OR o.tag IS DISTINCT FROM n.tag THEN 'changed' ELSE 'same' END AS status, CASE WHEN o.article_id IS NULL OR n.article_id IS NULL THEN '' ELSE array_to_string(list_filter([CASE WHEN o.law_name IS DISTINCT FROM n.law_name THEN 'law_name' END, "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statuta.functions import variants
+from statuta.functions import user, variants
 from statuta.operators import sketches
 from statuta.queries import query, table
 
@@ -62,3 +62,24 @@ def monthly_sketches(spark, sf_dir):
         F.coalesce((below <= half + slack) & (upto >= half - slack), F.lit(False)).alias("median_ok"),
     )
     return per.select("month", "kind", "n", "clients", (F.abs(F.col("about") - F.col("clients")) <= F.col("clients") * sketches.ERROR + 1).alias("clients_ok"), "median_ok")
+
+
+@query(
+    "WITH e AS (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS island FROM events) "
+    "SELECT user_id, event_type, min(ts) AS started, max(ts) AS ended, CAST(count(*) AS INTEGER) AS n FROM e GROUP BY user_id, event_type, island"
+)
+def event_runs(spark, sf_dir):
+    """Runs of events of one type per user, by a table function called from SQL."""
+    user.register(spark)
+    events = table(spark, sf_dir, "events").select(F.col("user_id").alias("k"), F.col("ts").cast("timestamp").alias("t"), F.col("event_type").alias("kind"), "event_id")
+    found = spark.sql("SELECT * FROM runs(TABLE({events}) PARTITION BY k ORDER BY (t, event_id))", events=events)
+    return found.select(F.col("k").alias("user_id"), F.col("kind").alias("event_type"), F.col("started").cast("timestamp_ntz").alias("started"), F.col("ended").cast("timestamp_ntz").alias("ended"), "n")
+
+
+@query("SELECT user_id, round(count(*) / sum(1 / value), 6) AS mean FROM events WHERE value > 0 GROUP BY user_id")
+def harmonic_values(spark, sf_dir):
+    """The harmonic mean of each user's values, by an aggregate of two steps called from SQL."""
+    user.register(spark)
+    events = table(spark, sf_dir, "events").select("user_id", "value", "event_id")
+    parts = spark.sql("SELECT user_id, harmonic_part(value) AS s FROM {events} WHERE value > 0 GROUP BY user_id, pmod(hash(event_id), 64)", events=events)
+    return spark.sql("SELECT user_id, round(harmonic(s), 6) AS mean FROM {parts} GROUP BY user_id", parts=parts)
