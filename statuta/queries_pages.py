@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.operators import structure, textdiff
+from statuta.operators import search, structure, textdiff
 from statuta.queries import query, table
 from statuta.sources import html
 
@@ -116,3 +116,21 @@ def document_differences(spark, sf_dir):
     more = F.aggregate("hunks", F.lit(0).cast("long"), lambda n, h: n + F.size(h["added"]) - h["removed"])
     back = textdiff.applied(found.withColumns({"lines_more": more, "same": F.size("hunks") == 0}), "text", "hunks", "doc_id", "lines_more", "same")
     return back.select("doc_id", (F.col("doc_id") + 1).alias("next_id"), F.sha2(F.col("text").cast("binary"), 256).alias("restored_sha256"), "lines_more", "same")
+
+
+_TERMS = "regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')"
+
+
+@query(
+    f"WITH d AS (SELECT doc_id, {_TERMS.format(t='text')} AS w FROM documents WHERE text IS NOT NULL), s AS (SELECT count(*) AS n, greatest(1, CAST(sum(len(w)) AS BIGINT) // count(*)) AS mean FROM d), "
+    "u AS (SELECT doc_id, len(w) AS length, unnest(w) AS term FROM d), t AS (SELECT doc_id, term, length, count(*) AS tf FROM u GROUP BY ALL), "
+    "i AS (SELECT term, CAST(round(ln(1 + n / count(*)) * 1000) AS BIGINT) AS idf FROM t, s GROUP BY term, n), "
+    f"q AS (SELECT DISTINCT item_id, unnest({_TERMS.format(t='text')}) AS term FROM benchmark), "
+    "c AS (SELECT item_id, doc_id, CAST(sum(idf * (tf * 2200000 // (tf * 1000 + 300 + length * 900 // mean))) AS BIGINT) AS score FROM q JOIN i USING (term) JOIN t USING (term), s GROUP BY item_id, doc_id), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM c) SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"
+)
+def benchmark_search(spark, sf_dir):
+    """The ten documents that rank first for each item of the benchmark."""
+    index = search.build(table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = search.search(index, table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return found.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
