@@ -9,7 +9,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 #: Bytes of an Arrow batch; Spark's own bound is 64 MB, which JVM and worker both hold, once per core.
-BATCH_BYTES = 2 << 20
+#: Workers make arrays of some 60 times a batch's size, and the JVM's native memory keeps buffers of that size.
+BATCH_BYTES = 256 << 10
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
