@@ -31,7 +31,7 @@ DIM = 1024
 N = 3
 UNKNOWN = "und"
 SEED = 20_240_601
-DENSE = 1 << 21
+DENSE = 1 << 18
 COLUMNS = 2048
 #: Languages whose vectors a task, the driver or a broadcast holds at once; texts meet further ones in further passes.
 LANGUAGES = 1000
