@@ -44,16 +44,16 @@ def click_shapes(spark, sf_dir):
 
 
 @query(
-    "SELECT CAST(date_trunc('month', ts) AS DATE) AS month, coalesce(kind, '-') AS kind, count(*) AS n, count(DISTINCT client_id) AS clients, true AS clients_ok, true AS median_ok "
+    "SELECT strftime(ts, '%Y-%m') AS month, coalesce(kind, '-') AS kind, count(*) AS n, count(DISTINCT client_id) AS clients, true AS clients_ok, true AS median_ok "
     "FROM clicks WHERE ts IS NOT NULL GROUP BY ALL"
 )
 def monthly_sketches(spark, sf_dir):
     """Clients and the median value of every month and kind from sketches by day, beside exact counts that say whether they keep their bounds."""
     clicks = table(spark, sf_dir, "clicks").select("ts", F.coalesce("kind", F.lit("-")).alias("kind"), "client_id", "value")
-    month = F.trunc("day", "month").alias("month")
+    month = F.date_format("day", "yyyy-MM").alias("month")
     states = sketches.merged(sketches.daily(clicks, "ts", "client_id", "value", "kind"), month, "kind")
     found = states.select("month", "kind", sketches.distinct(F.col("hll")).alias("about"), sketches.quantile(F.col("kll"), 0.5).alias("median"))
-    exact = clicks.where("ts IS NOT NULL").withColumn("month", F.trunc(F.col("ts").cast("date"), "month"))
+    exact = clicks.where("ts IS NOT NULL").withColumn("month", F.date_format("ts", "yyyy-MM"))
     exact = exact.join(found, ["month", "kind"])
     below, upto = F.count_if(F.col("value") < F.col("median")), F.count_if(F.col("value") <= F.col("median"))
     half, slack = F.count("value") * 0.5, F.count("value") * sketches.RANK_ERROR + 1

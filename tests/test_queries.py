@@ -1,7 +1,7 @@
 import pytest
 from conftest import SF, rows_of
 
-from statuta import queries
+from statuta import queries, queries_pages, queries_time, queries_values  # noqa: F401  (they register their queries)
 
 
 @pytest.mark.parametrize("name", list(queries.QUERIES))
