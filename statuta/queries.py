@@ -476,12 +476,16 @@ def table_cells(spark, sf_dir):
     return structure.table_cells(S.TABLES.frame(spark, sf_dir), "text", "id").withColumnRenamed("column", "place")
 
 
+# What Python's cp932 can write, but never reads.
+_ONE_WAY = "¢£¬‖−〜"
+
+
 def _charset_class(charset: str) -> str:
-    """What a charset can hold, as the inside of a character class; control characters are left out."""
-    fits = [c for c in range(32, 0x10000) if not 0xD800 <= c < 0xE000 and safety._fits(chr(c), charset)]
+    """What a charset can hold, as the inside of a character class, from all that its bytes can say; control characters are left out."""
+    said = {_ONE_WAY} | {bytes([a]).decode(charset, "ignore") for a in range(256)} | {bytes([a, b]).decode(charset, "ignore") for a in range(128, 256) for b in range(256)}
     runs: list[list[int]] = []
-    for c in fits:
-        if runs and runs[-1][1] == c - 1:
+    for c in sorted(ord(c) for text in said for c in text if ord(c) >= 32):
+        if runs and c <= runs[-1][1] + 1:
             runs[-1][1] = c
         else:
             runs.append([c, c])
