@@ -43,6 +43,8 @@ LEAST = 8
 FOLD = 4
 STEP = 0.5
 RIDGE = 5.0
+#: Tokens of a span; the spans of all chains are worked on side by side.
+SPAN = 64
 #: Padded cells that are worked on at once.
 CELLS = 1 << 18
 CACHED = 300_000
@@ -88,81 +90,122 @@ def label_tokens(docs: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
     return [known[f].astype(np.int8) if t else np.zeros(len(f), np.int8) for f, t in zip(flat, toxic, strict=True)]
 
 
-def _padded(chains: list[np.ndarray]) -> np.ndarray:
-    out = np.zeros((max(map(len, chains), default=0), len(chains)))
-    for k, c in enumerate(chains):
-        out[: len(c), k] = c
-    return out
-
-
 def _groups(lengths: list[int]) -> list[list[int]]:
-    """Chains of like length together, in groups of at most CELLS cells with padding; a longer chain is one alone."""
+    """Chains in groups of at most CELLS cells with padding; a longer chain is one alone."""
     out: list[list[int]] = []
-    for k in sorted(range(len(lengths)), key=lengths.__getitem__):
-        if not out or (len(out[-1]) + 1) * lengths[k] > CELLS:
+    held = CELLS
+    for k, n in enumerate(lengths):
+        cells = max(1, -(-n // SPAN)) * SPAN
+        if held + cells > CELLS:
             out.append([])
+            held = 0
         out[-1].append(k)
+        held += cells
     return out
 
 
-def marginals(chains: list[np.ndarray], moves: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Probabilities of tag 1 along chains with the given evidence, and expected numbers of moves (2, 2).
+def _messages(evidence: np.ndarray, lengths: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Odds of tag 1 at each token of chains that stand end to end, given what stands up to there.
+
+    A token turns odds r into e * (t01 + r * t11) / (t00 + r * t10), so a span of tokens is a 2 x 2
+    matrix up to a factor: the odds of each row, and how its rows compare in column 0.  Matrices of all
+    spans grow token by token side by side, then the odds that enter each span follow from the span before.
+    """
+    spans = -(-lengths // SPAN)
+    first = np.cumsum(spans) - spans
+    cell = np.arange(len(evidence)) + np.repeat(first * SPAN - np.cumsum(lengths) + lengths, lengths)
+    n = int(spans.sum())
+    e = np.ones(n * SPAN)
+    e[cell] = evidence
+    e = np.ascontiguousarray(e.reshape(n, SPAN).T)
+    rows, ratio = np.empty((SPAN, 2, n)), np.empty((SPAN, n))
+    rows[0] = e[0] * np.array([[t[0, 1] / t[0, 0]], [t[1, 1] / t[1, 0]]])
+    ratio[0] = t[1, 0] / t[0, 0]
+    heads = np.zeros(n, bool)  # spans that nothing enters
+    heads[first[lengths > 0]] = True
+    rows[0][:, heads], ratio[0, heads] = e[0, heads], 1.0
+    for i in range(1, SPAN):
+        r = rows[i - 1]
+        below = t[0, 0] + r * t[1, 0]
+        rows[i] = e[i] * (t[0, 1] + r * t[1, 1]) / below
+        ratio[i] = ratio[i - 1] * (below[1] / below[0])
+    enter, r = [], 0.0
+    for head, a, b, w in zip(heads.tolist(), *rows[-1].tolist(), ratio[-1].tolist(), strict=True):
+        r = 0.0 if head else r
+        enter.append(r)
+        r = (a + r * w * b) / (1 + r * w)
+    ratio *= np.array(enter)
+    return ((rows[:, 0] + ratio * rows[:, 1]) / (1 + ratio)).T.ravel()[cell]
+
+
+def marginals(chains: list[np.ndarray], moves: np.ndarray, count: bool = True) -> tuple[list[np.ndarray], np.ndarray]:
+    """Probabilities of tag 1 along chains with the given evidence, and expected numbers of moves (2, 2) if they are to be counted.
 
     Forward and backward messages are kept as odds of tag 1, so they need no scaling.
     """
     t = np.exp(moves)
-    out: list[np.ndarray] = [np.zeros(0)] * len(chains)
+    out: list[np.ndarray] = []
     expected = np.zeros((2, 2))
     for group in _groups([len(c) for c in chains]):
         lengths = np.array([len(chains[k]) for k in group])
-        evidence = np.exp(np.clip(_padded([chains[k] for k in group]), -60, 60))
-        n = len(evidence)
-        if not n:
-            continue
-        before = np.empty_like(evidence)  # odds of tag 1 given what stands up to here
-        before[0] = r = evidence[0]
-        for i in range(1, n):
-            r = evidence[i] * (t[0, 1] + r * t[1, 1]) / (t[0, 0] + r * t[1, 0])
-            before[i] = r
-        after = np.ones_like(evidence)  # odds of what stands behind
-        for i in range(n - 2, -1, -1):
-            r = evidence[i + 1] * after[i + 1]
-            r = (t[1, 0] + r * t[1, 1]) / (t[0, 0] + r * t[0, 1])
-            # Behind a chain's end there is nothing.
-            after[i] = np.where(i + 1 < lengths, r, 1.0)
-        odds = before * after
-        p = odds / (1 + odds)
-        inside = np.arange(n)[1:, None] < lengths[None, :]
-        x, y = before[:-1], evidence[1:] * after[1:]
-        both = [t[0, 0] + 0 * x, t[0, 1] * y, t[1, 0] * x, t[1, 1] * x * y]
-        total = sum(both)
-        expected += np.array([(b / total)[inside].sum() for b in both]).reshape(2, 2)
-        for k, c in enumerate(group):
-            out[c] = p[: lengths[k], k]
+        ends = np.cumsum(lengths)
+        evidence = np.exp(np.clip(np.concatenate([chains[k] for k in group]), -60, 60))
+        before = _messages(evidence, lengths, t)
+        after = _messages(evidence[::-1], lengths[::-1], t.T)[::-1]  # odds given what stands from here on
+        odds = before * after / evidence
+        out += np.split(odds / (1 + odds), ends[:-1])
+        if count:
+            inside = np.ones(len(evidence), bool)
+            inside[ends[lengths > 0] - 1] = False  # nothing follows a chain's end
+            at = np.flatnonzero(inside)
+            x, y = before[at], after[at + 1]
+            both = [np.full(len(at), t[0, 0]), t[0, 1] * y, t[1, 0] * x, t[1, 1] * x * y]
+            total = sum(both)
+            expected += np.array([(b / total).sum() for b in both]).reshape(2, 2)
     return out, expected
 
 
+class _Evidence(dict):
+    """Evidence by token, worked out where it is missing: the bias and the weights of what features() names."""
+
+    def __init__(self, weights: dict[str, float], bias: float):
+        super().__init__()
+        kinds: dict[str, dict[str, float]] = defaultdict(dict)
+        for f, x in weights.items():
+            kind, _, part = f.partition(":")
+            kinds[kind][part] = x
+        self.bias, self.words, self.ends = bias, kinds["w"], kinds["s"]
+        self.stems = [(n, kinds[f"p{n}"]) for n in range(STEM, 7)]
+
+    def __missing__(self, token: str) -> float:
+        word = form(token)
+        out = self.bias
+        if word:
+            out += self.words.get(word, 0.0) + self.ends.get(word[-4:], 0.0)
+            for n, stems in self.stems:
+                if len(word) < n:
+                    break
+                out += stems.get(word[:n], 0.0)
+        if len(self) > CACHED:
+            self.clear()
+        if len(token) < 64:
+            self[token] = out
+        return out
+
+
 class Field:
     def __init__(self, weights: dict[str, float], bias: float, moves: np.ndarray, curve: np.ndarray):
         self.weights, self.bias, self.moves, self.curve = weights, bias, moves, curve
-        self.cache: dict[str, float] = {}
-
-    def _evidence(self, token: str) -> float:
-        get = self.weights.get
-        out = self.bias + sum(get(f, 0.0) for f in features(form(token)))
-        if len(self.cache) > CACHED:
-            self.cache.clear()
-        if len(token) < 64:
-            self.cache[token] = out
-        return out
+        self.cache: _Evidence | None = None
 
     def evidence(self, tokens: list[str]) -> np.ndarray:
-        get, make = self.cache.get, self._evidence
-        return np.array([x if (x := get(w)) is not None else make(w) for w in tokens])
+        if self.cache is None:
+            self.cache = _Evidence(self.weights, self.bias)
+        return np.fromiter(map(self.cache.__getitem__, tokens), float, len(tokens))
 
     def tag(self, batch: list[str]) -> list[np.ndarray]:
         """Marginals of the white-space separated tokens of texts."""
-        return marginals([self.evidence(t.split()) for t in batch], self.moves)[0]
+        return marginals([self.evidence(t.split()) for t in batch], self.moves, count=False)[0]
 
     def score(self, batch: list[str]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(summaries(self.tag(batch)) @ self.curve, -40, 40)))
@@ -229,7 +272,7 @@ def train(docs: list[str], toxic: list[int], counts: dict[int, int]) -> Field:
     have = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     weight = np.array([counts[int(c)] / have[int(c)] for c in y])
     field.curve = _curve(x, y, weight / weight.mean())
-    field.cache = {}
+    field.cache = None
     return field
 
 

@@ -462,6 +462,56 @@ def test_marginals_by_enumeration():
     assert np.allclose(total, expected)
 
 
+def test_marginals_over_many_spans():
+    rng = np.random.default_rng(5)
+    sizes = [0, 1, 63, 64, 65, 0, 128, 1000, 2, 129, 0]
+    chains = [rng.normal(size=n) * 5 for n in sizes] + [np.full(70, 1000.0), np.full(70, -1000.0), np.where(np.arange(200) % 2, 1000.0, -1000.0)]
+    for moves in (rng.normal(size=(2, 2)), np.array([[6.0, -6.0], [-6.0, 6.0]]), np.array([[-9.0, 9.0], [9.0, -9.0]])):
+        got, expected = toxicity.marginals(chains, moves)
+        total = np.zeros((2, 2))
+        for c, p in zip(chains, got, strict=True):
+            # Sums of logarithms, token by token.
+            node = np.stack([np.zeros(len(c)), np.clip(c, -60, 60)], axis=1)
+            before, after = node.copy(), np.zeros_like(node)
+            for i in range(1, len(c)):
+                before[i] += np.logaddexp.reduce(before[i - 1][:, None] + moves, axis=0)
+            for i in range(len(c) - 2, -1, -1):
+                after[i] = np.logaddexp.reduce(moves + node[i + 1] + after[i + 1], axis=1)
+            both = before + after
+            assert np.allclose(np.exp(both[:, 1] - np.logaddexp.reduce(both, axis=1)), p, atol=1e-12)
+            if len(c) > 1:
+                pairs = before[:-1, :, None] + moves + (node + after)[1:, None, :]
+                total += np.exp(pairs - np.logaddexp.reduce(pairs, axis=(1, 2), keepdims=True)).sum(axis=0)
+        assert np.allclose(total, expected)
+
+
+def test_a_long_chain_costs_what_its_tokens_cost():
+    import time
+
+    rng, moves = np.random.default_rng(6), np.array([[0.5, -1.0], [-2.0, 1.0]])
+
+    def seconds(chains):
+        took = []
+        for _ in range(3):
+            start = time.process_time()
+            toxicity.marginals(chains, moves)
+            took.append(time.process_time() - start)
+        return min(took)
+
+    # As many tokens in one chain, and in 100; step by step the one takes 100 times as many steps.
+    assert seconds([rng.normal(size=100_000)]) < 10 * max(0.01, seconds([rng.normal(size=1000) for _ in range(100)]))
+
+
+def test_evidence_is_what_the_features_weigh():
+    rng = np.random.default_rng(7)
+    words = ["", "a", "abc", "abcd", "Abcde,", "abcdef", "abcdefg", "(w:x)", "p4:abcd", "...", "É" * 5, "x" * 100, "\u0130stanbul"]
+    weights = {f: float(rng.normal()) for w in words for f in toxicity.features(toxicity.form(w))}
+    field = toxicity.Field(weights, -0.5, np.zeros((2, 2)), np.zeros(4))
+    tokens = [*words, "abcdxy", "zbcd", "unseen"]
+    want = [-0.5 + sum(weights.get(f, 0.0) for f in toxicity.features(toxicity.form(w))) for w in tokens]
+    assert np.allclose(field.evidence(tokens), want) and np.allclose(field.evidence(tokens), want)
+
+
 def test_toxicity(spark, docs, empty):
     sf = SF.replace("0.001", "0.01")
     real, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
