@@ -81,14 +81,13 @@ def click_sessions(spark, sf_dir):
     "HAVING coalesce(min(t) FILTER (WHERE opens), min(t)) + INTERVAL 30 DAYS < (SELECT max(t) FROM k) - INTERVAL 10 DAYS"
 )
 def settled_sales(spark, sf_dir):
-    """What has been shipped of a sale thirty days after it, by state and a timer for each sale; lines without a sale count from the first."""
+    """What has been shipped of a sale thirty days after it, by sums and a timer for each sale; lines without a sale count from the first."""
     at = scratch(spark, "settled")
     sales = table(spark, sf_dir, "sales").select(F.col("sale_id").alias("key"), F.col("sold_at").alias("time"), F.lit(True).alias("opens"), F.lit(None).cast("long").alias("amount"))
     lines = table(spark, sf_dir, "sale_lines").select(F.col("sale_id").alias("key"), F.col("shipped_at").alias("time"), F.lit(False).alias("opens"), F.col("quantity").cast("long").alias("amount"))
-    rows = sales.unionByName(lines).withColumn("time", F.col("time").cast("timestamp"))
-    for some in stream.arriving(spark, rows, f"{at}/in", "time", STARTS):
+    for some in stream.arriving(spark, sales.unionByName(lines), f"{at}/in", "time", STARTS):
         stream.run_available(stream.settled(some, 30 * 86_400_000, _LATE), f"{at}/out", f"{at}/state")
-    return spark.read.parquet(f"{at}/out").select(F.col("key").alias("sale_id"), F.col("opened").cast("timestamp_ntz").alias("opened"), "n", F.col("amount").alias("quantity"))
+    return spark.read.parquet(f"{at}/out").select(F.col("key").alias("sale_id"), "opened", "n", F.col("amount").alias("quantity"))
 
 
 @query(

@@ -8,11 +8,15 @@ comes later than the watermark allows is left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter
+
+from statuta.functions.times import micros
+from statuta.sources.scratch import hadoop, put
 
 
 def sessions(stream: DataFrame, gap: str, late: str, time: str = "ts", by: str = "user_id", ident: str = "event_id", kind: str = "event_type") -> DataFrame:
@@ -27,54 +31,84 @@ def sessions(stream: DataFrame, gap: str, late: str, time: str = "ts", by: str =
     return found.select(by, F.col("w.start").alias("start"), F.col("last").alias("end"), "n", "n_kinds")
 
 
+@dataclass
 class Settlement:
-    """Gathers what belongs to a key until a timer goes off: wait after the opening row's time.
+    """What belongs to a key, gathered until a timer goes off: wait_ms after the opening row's time.
 
-    ``rows`` needs the columns key, time, opens (whether a row opens the key) and amount.  The result
+    ``rows``, a stream, needs the columns key, time, opens (whether a row opens the key) and amount.  The result
     has key, opened (the opening row's time, null if there was none), n (other rows) and amount (their
-    sum, in units of the column).  Without an opening row the earliest row's time counts.  State is
-    three numbers a key, so a key of any number of rows takes no memory.
+    sum, in units of the column).  Without an opening row the earliest row's time counts.  Rows without a
+    key or a time are left out.
+
+    Each micro-batch adds its sums by key to those of the keys that are open, and writes them as a new
+    version below the checkpoint; it gives out the keys whose timer lies before the watermark, late
+    behind the newest row, and the next one takes up the others.  State is five numbers a key, sums are partial before
+    they meet, so a key of any number of rows takes no memory, and no row passes through Python.  A
+    batch writes all open keys once.  One that ends early is repeated from the version before, over what it left.
     """
 
-    RESULT = "key long, opened timestamp, n long, amount long"
-    STATE = "opened long, first long, n long, amount long"
-
-    def __init__(self, wait_ms: int):
-        self.wait_ms = wait_ms
-
-    def __call__(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        opened, first, n, amount = state.get if state.exists else (None, None, 0, 0)
-        if not state.hasTimedOut:
-            for frame in frames:
-                ms = frame["time"].astype("datetime64[ms]").astype("int64")
-                opens = frame["opens"].astype(bool)
-                if opens.any():
-                    least = int(ms[opens].min())
-                    opened = least if opened is None else min(opened, least)
-                least = int(ms.min())
-                first = least if first is None else min(first, least)
-                n += int((~opens).sum())
-                amount += int(frame["amount"][~opens].fillna(0).sum())
-            due = (first if opened is None else opened) + self.wait_ms
-            if due >= state.getCurrentWatermarkMs():  # as Spark's own timers do, which go off once the watermark is beyond them
-                state.update((opened, first, n, amount))
-                state.setTimeoutTimestamp(due)
-                return
-        if state.exists:
-            state.remove()
-        yield pd.DataFrame({"key": [key[0]], "opened": pd.to_datetime([opened], unit="ms"), "n": [n], "amount": [amount]})
-
-
-def settled(rows: DataFrame, wait_ms: int, late: str) -> DataFrame:
-    """What ``Settlement`` gives out for every key whose timer lies before the watermark."""
-    known = rows.where(F.col("time").isNotNull() & F.col("key").isNotNull()).withWatermark("time", late)
-    work = Settlement(wait_ms)
-    return known.groupBy("key").applyInPandasWithState(lambda key, frames, state: work(key, frames, state), Settlement.RESULT, Settlement.STATE, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def run_available(found: DataFrame, path: str, checkpoint: str) -> None:
+    rows: DataFrame
+    wait_ms: int
+    late: str
+
+    def writer(self, path: str, checkpoint: str) -> DataStreamWriter:
+        known = self.rows.where(F.col("time").isNotNull() & F.col("key").isNotNull())
+        return known.writeStream.foreachBatch(lambda rows, number: self._add(rows, number, path, f"{checkpoint}/keys"))
+
+    def _add(self, rows: DataFrame, number: int, path: str, at: str) -> None:
+        spark = rows.sparkSession
+        top, files = hadoop(spark, at)
+        versions = sorted(int(s.getPath().getName()) for s in files.listStatus(top)) if files.exists(top) else []
+        before = [v for v in versions if v < number]
+        opens = F.coalesce("opens", F.lit(False))
+        amount = F.when(opens, F.lit(0)).otherwise(F.coalesce("amount", F.lit(0))).cast("long")
+        each = rows.select("key", F.when(opens, F.col("time")).alias("opened"), F.col("time").alias("first"), F.col("time").alias("last"), F.when(opens, 0).otherwise(1).cast("long").alias("n"), amount.alias("amount"))
+        mark = None
+        if before:
+            mark = spark.read.parquet(f"{at}/{before[-1]}/mark").first()[0]
+            held = spark.read.schema(each.schema).parquet(f"{at}/{before[-1]}/sums")
+            if mark is not None:
+                each, held = each.where(micros(each, "first") > mark), held.where(~self._due(held, mark))
+            each = each.unionByName(held)
+        sums = each.groupBy("key").agg(F.min("opened").alias("opened"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+        sums = put(sums, f"{at}/{number}/sums")
+        newest = sums.agg(F.max(micros(sums, "last"))).first()[0]
+        late = pd.Timedelta(self.late) // pd.Timedelta(microseconds=1)
+        mark = max((m for m in (mark, None if newest is None else newest - late) if m is not None), default=None)
+        put(spark.range(1).select(F.lit(mark).cast("long").alias("mark")), f"{at}/{number}/mark")
+        _publish(sums.where(F.lit(False) if mark is None else self._due(sums, mark)).select("key", "opened", "n", "amount"), path, number)
+        for v in before[:-1]:
+            files.delete(hadoop(spark, f"{at}/{v}")[0], True)
+
+    def _due(self, sums: DataFrame, mark: int) -> Column:
+        """Whether the timer lies before the watermark."""
+        return F.coalesce(micros(sums, "opened"), micros(sums, "first")) + self.wait_ms * 1000 < mark
+
+
+def _publish(rows: DataFrame, path: str, number: int) -> None:
+    """Puts the rows into a folder as the files of one batch; those of an earlier try go first."""
+    spark, made = rows.sparkSession, f"{path}/_made-{number}"
+    rows.write.mode("overwrite").parquet(made)
+    (top, files), (source, _) = hadoop(spark, path), hadoop(spark, made)
+    listed = lambda at, begin: [s.getPath() for s in files.listStatus(at) if s.getPath().getName().startswith(begin)]
+    for old in listed(top, f"batch-{number}-"):
+        files.delete(old, False)
+    for part in listed(source, "part-"):
+        to = hadoop(spark, f"{path}/batch-{number}-{part.getName()}")[0]
+        if not files.rename(part, to):
+            raise RuntimeError(f"cannot put {to} in place")
+    files.delete(source, True)
+
+
+def settled(rows: DataFrame, wait_ms: int, late: str) -> Settlement:
+    """What a stream of rows has settled, for ``run_available``: every key whose timer lies before the watermark."""
+    return Settlement(rows, wait_ms, late)
+
+
+def run_available(found: DataFrame | Settlement, path: str, checkpoint: str) -> None:
     """Writes what is ready to Parquet and stops; a later run on the same checkpoint goes on from there."""
-    found.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    writer = found.writer(path, checkpoint) if isinstance(found, Settlement) else found.writeStream.format("parquet").option("path", path).outputMode("append")
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def arriving(spark: SparkSession, table: DataFrame, folder: str, time: str, parts: int) -> Iterator[DataFrame]:

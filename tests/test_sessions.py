@@ -1,8 +1,10 @@
 """Sessions and keyed state as streams, against batch SQL and by hand."""
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from statuta.streaming import sessions
 
@@ -76,6 +78,41 @@ def test_a_key_of_many_rows_keeps_three_numbers(spark, tmp_path):
     assert runs[1] == [(1, None, 20_000, 20_000)]
 
 
+def test_many_keys_settle_without_work_in_python_for_each(spark, tmp_path):
+    began = time.monotonic()
+    keys = spark.range(200_000).select(F.col("id").alias("key"), F.timestamp_seconds(F.col("id") % 60 + 1_700_000_000).alias("time"), (F.col("id") % 2 == 0).alias("opens"), F.lit(5).cast("long").alias("amount"))
+    last = spark.range(1).select(F.lit(-1).cast("long").alias("key"), F.timestamp_seconds(F.lit(1_800_000_000)).alias("time"), F.lit(True).alias("opens"), F.lit(None).cast("long").alias("amount"))
+    for rows in (keys, keys, last):
+        rows.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(Settled.ddl).parquet(str(tmp_path / "in"))
+        sessions.run_available(Settled.of(stream), str(tmp_path / "out"), str(tmp_path / "state"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == got.select("key").distinct().count() == 200_000
+    assert got.agg(F.sum("n"), F.sum("amount"), F.count("opened")).first() == (200_000, 1_000_000, 100_000)
+    assert time.monotonic() - began < 60
+
+
+def test_a_settlement_that_ended_early_is_repeated_over_what_it_left(spark, tmp_path):
+    row = lambda key, s, opens, amount=None: (key, T + timedelta(seconds=s), opens, amount)
+    slices = [[row(1, 0, True), row(1, 5.000001, False, 3)], [row(1, 9, False, 4), row(2, 9000, True)], [row(3, 90_000, False, 1)]]
+    runs = _runs(spark, tmp_path, slices, Settled)
+    assert runs[1] == [(1, T, 2, 7)] and runs[2] == [(1, T, 2, 7), (2, T + timedelta(seconds=9000), 0, 0)]
+    for end in ("2", ".2.crc"):
+        (tmp_path / "state" / "commits" / end).unlink()
+    stream = spark.readStream.schema(Settled.ddl).parquet(str(tmp_path / "in"))
+    sessions.run_available(Settled.of(stream), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == runs[2]
+
+
+def test_settlement_keeps_microseconds_and_times_without_a_zone(spark, tmp_path):
+    ddl = "key long, time timestamp_ntz, opens boolean, amount long"
+    # The timer of key 1 goes off at the watermark itself, which is not before it; that of key 2 a microsecond earlier.
+    rows = [(1, T + timedelta(microseconds=3), True, None), (2, T + timedelta(microseconds=2), True, None), (3, T + timedelta(minutes=90, microseconds=3), True, None)]
+    spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / "in"))
+    sessions.run_available(Settled.of(spark.readStream.schema(ddl).parquet(str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(2, T + timedelta(microseconds=2), 0, 0)]
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_slices_hold_every_row_once(spark, tmp_path, parts):
     table = spark.createDataFrame([(i, T + timedelta(minutes=i) if i % 5 else None) for i in range(40)], "i int, t timestamp_ntz")
