@@ -47,3 +47,36 @@ def test_search_of_nothing(spark):
     some = spark.createDataFrame([(1, "a b")], "id long, text string")
     assert search.search(search.build(none, "id", "text"), some, "id", "text").collect() == []
     assert search.search(search.build(some, "id", "text"), none, "id", "text").collect() == []
+
+
+def test_no_pair_of_a_query_and_a_text_is_shuffled(spark):
+    store = spark.sparkContext._jsc.sc().statusStore()
+    written = lambda: sum(store.executorList(True).apply(i).totalShuffleWrite() for i in range(store.executorList(True).size()))
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(150)]
+    docs = [(i, " ".join(rng.choices(words, k=60))) for i in range(4000)]
+    queries = [(i, " ".join(words)) for i in range(100)]
+    before = written()
+    got = search.search(search.build(spark.createDataFrame(docs, "id long, text string"), "id", "text"), spark.createDataFrame(queries, "q int, text string"), "q", "text")
+    assert got.count() == 1000
+    # The texts are moved once and their postings once more, whatever is asked.
+    assert written() - before < 4 * sum(len(t) for _, t in docs)
+
+
+def test_several_turns_small_blocks_and_ids_of_several_texts(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERIES", 2)
+    monkeypatch.setattr(search, "HELD", 50)
+    monkeypatch.setattr(search, "SPAN", 64)
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(25)]
+    big = (1 << 53) + 7  # ids that a float does not hold
+    docs = [(big + i, " ".join(rng.choices(words, k=rng.randrange(1, 30)))) for i in range(200)]
+    queries = [(f"q{i}", " ".join(rng.choices(words, k=5))) for i in range(9)]
+    make = lambda rows: search.build(spark.createDataFrame(rows, "id long, text string"), "id", "text")
+    got = search.search(make(docs), spark.createDataFrame(queries, "q string, text string"), "q", "text", 7)
+    assert sorted(map(tuple, got.collect())) == _plain(docs, queries, 7)
+    # Two texts of one length count as one that has the terms of both, a third of another length by itself.
+    index = make([(1, "a b"), (1, "a c"), (1, "a"), (2, "d")])
+    weight = lambda tf, length: tf * 2_200_000 // (tf * 1000 + 300 + length * 900)
+    idf = round(math.log(1 + 4 / 2) * 1000)
+    assert [tuple(r) for r in search.search(index, spark.createDataFrame([(1, "a")], "q int, text string"), "q", "text").collect()] == [(1, 1, 1, idf * (weight(2, 2) + weight(1, 1)))]
